@@ -37,6 +37,8 @@ def _norm(v):
             return None
         if math.isinf(f):
             return f
+        if f == 0:
+            return 0.0
         return float(f"{f:.9g}")
     if isinstance(v, (bool, np.bool_)):
         return bool(v)
