@@ -63,3 +63,12 @@ def json_scalar(doc: Column, path: str) -> Column:
     """JSON_VALUE: scalar at path, NULL for objects/arrays."""
     v = F.get_json_object(doc, path)
     return F.when(F.substring(F.ltrim(v), 1, 1).isin("{", "["), F.lit(None)).otherwise(v)
+
+
+def nan_to_num(x: Column, nan: float = 0.0, posinf: float | None = None, neginf: float | None = None) -> Column:
+    """numpy.nan_to_num: NaN and +-inf replaced (NaN is a value in Spark, H22)."""
+    big = 1.7976931348623157e308
+    return (F.when(F.isnan(x), F.lit(nan))
+            .when(x == float("inf"), F.lit(posinf if posinf is not None else big))
+            .when(x == float("-inf"), F.lit(neginf if neginf is not None else -big))
+            .otherwise(x))
