@@ -27,8 +27,7 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[s
         ranked = ranked.join(counts, by)
     else:
         ranked = global_row_number(v, [("__v", True)], alias="__rn")
-        counts = v.agg(F.count(F.lit(1)).alias("__n"))
-        ranked = ranked.crossJoin(F.broadcast(counts))  # one row
+        ranked = ranked.withColumn("__n", v.agg(F.count(F.lit(1))).scalar())
     need = F.lit(False)
     for p in probs.values():
         h = (F.col("__n") - 1) * F.lit(p)

@@ -90,14 +90,14 @@ def _range_buckets(df: DataFrame, lead: str, ascending: bool, k: int, accuracy:
     a fixed size.  Equal values always land in the same bucket.
     """
     probs = [i / k for i in range(1, k)]
-    bounds = df.agg(F.percentile_approx(F.col(lead), probs, accuracy).alias("__bounds"))
-    j = df.join(F.broadcast(bounds), how="cross")
+    bounds = df.agg(F.percentile_approx(F.col(lead), probs, accuracy)).scalar()
+    df = df.withColumn("__bounds", bounds)
     c = F.col(lead)
     pos = F.size(F.filter(F.col("__bounds"), lambda x: x < c))
     bid = F.when(c.isNull(), F.lit(-1 if ascending else k + 1)).otherwise(pos)
     if not ascending:
         bid = -bid
-    return j.withColumn("__bk", bid).drop("__bounds")
+    return df.withColumn("__bk", bid).drop("__bounds")
 
 
 def _with_offsets(df: DataFrame, k_col: str, count_expr: Column, name: str) -> DataFrame:

@@ -146,9 +146,8 @@ with m as (select avg(o_totalprice) as mu from orders)
 select round(avg(case when o_totalprice > mu then 1e0 else 0e0 end) * 100, 6) as pct_above from orders cross join m
 """)
 def agg_pct_above_mean(t):
-    m = t.orders.agg(F.avg("o_totalprice").alias("mu"))
-    return t.orders.crossJoin(F.broadcast(m)).agg(
-        F.round(F.avg((F.col("o_totalprice") > F.col("mu")).cast("double")) * 100, 6).alias("pct_above"))
+    mu = t.orders.agg(F.avg("o_totalprice")).scalar()
+    return t.orders.agg(F.round(F.avg((F.col("o_totalprice") > mu).cast("double")) * 100, 6).alias("pct_above"))
 
 
 @query("agg_share_of_total", section=S, sql="""
@@ -162,10 +161,9 @@ def agg_share_of_total(t):
     """Category share of the grand total; the total is a one-row broadcast (H19 guarded)."""
     cat = (t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
            .groupBy(F.col("p_type").alias("category")).agg(F.sum("l_extendedprice").alias("sales")))
-    tot = cat.agg(F.sum("sales").alias("total_sales"))
-    return cat.crossJoin(F.broadcast(tot)).select(
-        "category", F.round("sales", 4).alias("sales"),
-        F.round(F.try_divide(100.0 * F.col("sales"), F.col("total_sales")), 2).alias("pct"))
+    total = cat.agg(F.sum("sales")).scalar()
+    return cat.select("category", F.round("sales", 4).alias("sales"),
+                      F.round(F.try_divide(100.0 * F.col("sales"), total), 2).alias("pct"))
 
 
 @query("agg_weighted_avg", section=S, sql="""

@@ -105,9 +105,8 @@ def filter_sargable_range(t):
 select o_orderkey, o_totalprice from orders where o_totalprice > (select avg(o_totalprice) from orders)
 """)
 def filter_scalar_subquery(t):
-    avg = t.orders.agg(F.avg("o_totalprice").alias("mu"))
-    return t.orders.crossJoin(F.broadcast(avg)).where(F.col("o_totalprice") > F.col("mu")) \
-        .select("o_orderkey", "o_totalprice")
+    mu = t.orders.agg(F.avg("o_totalprice")).scalar()  # runs once, pushed to the scan
+    return t.orders.where(F.col("o_totalprice") > mu).select("o_orderkey", "o_totalprice")
 
 
 @query("filter_above_group_mean", section=S, sql="""
@@ -117,9 +116,8 @@ select o_custkey, round(total, 4) as total from tot cross join m where total > m
 """)
 def filter_above_group_mean(t):
     tot = t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"))
-    m = tot.agg(F.avg("total").alias("mean_total"))
-    return tot.crossJoin(F.broadcast(m)).where(F.col("total") > F.col("mean_total")) \
-        .select("o_custkey", F.round("total", 4).alias("total"))
+    mean_total = tot.agg(F.avg("total")).scalar()
+    return tot.where(F.col("total") > mean_total).select("o_custkey", F.round("total", 4).alias("total"))
 
 
 @query("case_bucket", section=S, sql="""

@@ -30,8 +30,8 @@ where o_orderdate >= (select min(o_orderdate) from (select o_orderdate from orde
 def limit_with_ties(t):
     """TOP (3) WITH TIES by date: take 3, read the cutoff, keep all rows at or
     above it (no global window)."""
-    cut = t.orders.orderBy(F.col("o_orderdate").desc()).limit(3).agg(F.min("o_orderdate").alias("cut"))
-    return t.orders.crossJoin(F.broadcast(cut)).where(F.col("o_orderdate") >= F.col("cut")).select("o_orderkey", "o_orderdate")
+    cut = t.orders.orderBy(F.col("o_orderdate").desc()).limit(3).agg(F.min("o_orderdate")).scalar()
+    return t.orders.where(F.col("o_orderdate") >= cut).select("o_orderkey", "o_orderdate")
 
 
 @query("limit_percent", section=S, sql="""
@@ -44,8 +44,8 @@ def limit_percent(t):
     from quarry.operators.windows import global_row_number
     r = global_row_number(t.orders.select("o_orderkey", "o_totalprice"),
                           [("o_totalprice", False), ("o_orderkey", True)])
-    n = t.orders.agg(F.count(F.lit(1)).alias("n"))
-    return r.crossJoin(F.broadcast(n)).where(F.col("rn") <= F.ceil(0.1 * F.col("n"))).select("o_orderkey", "o_totalprice")
+    n = t.orders.agg(F.count(F.lit(1))).scalar()
+    return r.where(F.col("rn") <= F.ceil(0.1 * n)).select("o_orderkey", "o_totalprice")
 
 
 @query("limit_offset", section=S, sql="""
