@@ -1,2 +1,148 @@
-"""Plans module plotdata."""
-from quarry.catalog import query  # noqa: F401
+"""SURVEY 2.12: the data behind each chart (rendering is not built)."""
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from quarry.catalog import query
+
+S = "2.12"
+BINS = 20
+
+
+@query("plot_line_daily", section=S, sql="""
+with d as (select cast(o_orderdate as date) as day, sum(o_totalprice) as s from orders group by 1)
+select day, round(s, 4) as sales, round(avg(s) over (order by day rows between 6 preceding and current row), 4) as ma7,
+       s = max(s) over () as is_peak from d
+""")
+def plot_line_daily(t):
+    """Daily series, 7-row moving average overlay and the peak point (one row
+    per day; the ordered window runs over the calendar-bounded table)."""
+    d = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.sum("o_totalprice").alias("s"))
+    peak = d.agg(F.max("s")).scalar()
+    w = Window.orderBy("day").rowsBetween(-6, 0)
+    return d.select("day", F.round("s", 4).alias("sales"), F.round(F.avg("s").over(w), 4).alias("ma7"),
+                    (F.col("s") == peak).alias("is_peak"))
+
+
+@query("plot_bar_groups", section=S, sql="""
+select o_orderpriority, round(sum(o_totalprice), 4) as total from orders group by 1
+""")
+def plot_bar_groups(t):
+    return t.orders.groupBy("o_orderpriority").agg(F.round(F.sum("o_totalprice"), 4).alias("total"))
+
+
+def _hist_bin(x, lo, hi, n):
+    # equal-width bins, the last one closed on the right
+    return F.least(F.floor((x - lo) / (hi - lo) * n) + 1, F.lit(n)).cast("int")
+
+
+_HIST_SQL = f"""
+with b as (select min(o_totalprice) as lo, max(o_totalprice) as hi from orders),
+x as (select o.*, least(floor((o_totalprice - lo) / (hi - lo) * {BINS}) + 1, {BINS})::integer as bin, lo, hi
+      from orders o, b)
+"""
+
+
+@query("plot_histogram", section=S, sql=_HIST_SQL + f"""
+select bin, round(min(lo) + (bin - 1) * (min(hi) - min(lo)) / {BINS}, 4) as bin_lo, count(*) as n from x group by bin
+""")
+def plot_histogram(t):
+    """Equal-width bin counts; bounds come from two scalar subqueries."""
+    lo = t.orders.agg(F.min("o_totalprice")).scalar()
+    hi = t.orders.agg(F.max("o_totalprice")).scalar()
+    b = t.orders.select(_hist_bin(F.col("o_totalprice"), lo, hi, BINS).alias("bin"), lo.alias("lo"), hi.alias("hi"))
+    return b.groupBy("bin").agg(F.round(F.min("lo") + (F.col("bin") - 1) * (F.min("hi") - F.min("lo")) / BINS, 4)
+                                .alias("bin_lo"), F.count(F.lit(1)).alias("n"))
+
+
+@query("plot_facet_counts", section=S, sql=_HIST_SQL + """
+select o_orderpriority, o_orderstatus, bin, count(*) as n from x group by 1, 2, 3
+""")
+def plot_facet_counts(t):
+    lo = t.orders.agg(F.min("o_totalprice")).scalar()
+    hi = t.orders.agg(F.max("o_totalprice")).scalar()
+    return (t.orders.select("o_orderpriority", "o_orderstatus", _hist_bin(F.col("o_totalprice"), lo, hi, BINS).alias("bin"))
+            .groupBy("o_orderpriority", "o_orderstatus", "bin").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("plot_kde", section=S)
+def plot_kde(t, grid: int = 50, fine_bins: int = 512):
+    """Binned Gaussian KDE (Scott bandwidth) on a 50-point grid.
+
+    Values are first counted in 512 fine bins (partial aggregation); each
+    non-empty bin then sends its weighted kernel to the grid points through
+    a generator, and a group-by sums the contributions.  Work is
+    O(rows + bins x grid), with no data x grid product."""
+    x = F.col("o_totalprice")
+    st = t.orders.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"),
+                      F.count(x).alias("n"))
+    lo, hi = st.select("lo").scalar(), st.select("hi").scalar()
+    sd, n = st.select("sd").scalar(), st.select("n").scalar()
+    h = sd * F.pow(n, -0.2)
+    width = (hi - lo) / fine_bins
+    binned = (t.orders.select(F.least(F.floor((x - lo) / width), F.lit(fine_bins - 1)).alias("b"))
+              .groupBy("b").agg(F.count(F.lit(1)).alias("c")))
+    centre = lo + (F.col("b") + 0.5) * width
+    g = binned.select("c", centre.alias("xc"), F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
+    gx = lo + F.col("i") * (hi - lo) / (grid - 1)
+    z = (gx - F.col("xc")) / h
+    return (g.groupBy("i").agg(F.first(gx).alias("x"),
+                               (F.sum(F.col("c") * F.exp(-0.5 * z * z)) / (n * h * math.sqrt(2 * math.pi))).alias("density")))
+
+
+@query("plot_box_stats", section=S, sql="""
+with q as (select o_orderpriority, quantile_cont(o_totalprice, 0.25) as q1, quantile_cont(o_totalprice, 0.5) as med,
+                  quantile_cont(o_totalprice, 0.75) as q3 from orders group by 1)
+select q.o_orderpriority, round(q1, 4) as q1, round(med, 4) as med, round(q3, 4) as q3,
+       min(o_totalprice) filter (where o_totalprice >= q1 - 1.5 * (q3 - q1)) as whisker_lo,
+       max(o_totalprice) filter (where o_totalprice <= q3 + 1.5 * (q3 - q1)) as whisker_hi,
+       count(*) filter (where o_totalprice < q1 - 1.5 * (q3 - q1) or o_totalprice > q3 + 1.5 * (q3 - q1)) as n_outliers
+from q join orders o on o.o_orderpriority = q.o_orderpriority group by all
+""")
+def plot_box_stats(t):
+    from quarry.operators.stats import quantiles
+    q = quantiles(t.orders, "o_totalprice", {"q1": 0.25, "med": 0.5, "q3": 0.75}, by=["o_orderpriority"])
+    j = t.orders.select("o_orderpriority", "o_totalprice").join(F.broadcast(q), "o_orderpriority")
+    iqr = F.col("q3") - F.col("q1")
+    lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
+    x = F.col("o_totalprice")
+    return j.groupBy("o_orderpriority", "q1", "med", "q3").agg(
+        F.min(F.when(x >= lo_f, x)).alias("whisker_lo"), F.max(F.when(x <= hi_f, x)).alias("whisker_hi"),
+        F.count_if((x < lo_f) | (x > hi_f)).alias("n_outliers")).select(
+        "o_orderpriority", *[F.round(c, 4).alias(c) for c in ("q1", "med", "q3")], "whisker_lo", "whisker_hi", "n_outliers")
+
+
+@query("plot_scatter_sample", section=S)
+def plot_scatter_sample(t, percent: int = 5):
+    """A reproducible ~5 % sample of (quantity, price) points for a scatter
+    plot: the sample is the feature; membership is a hash of the row key."""
+    key = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return t.lineitem.where(F.pmod(key, F.lit(100)) < percent).select("l_quantity", "l_extendedprice")
+
+
+@query("plot_regression", section=S, sql="""
+select round(regr_slope(l_extendedprice, l_quantity), 6) as slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) as intercept from lineitem
+""")
+def plot_regression(t):
+    return t.lineitem.agg(F.round(F.regr_slope("l_extendedprice", "l_quantity"), 6).alias("slope"),
+                          F.round(F.regr_intercept("l_extendedprice", "l_quantity"), 4).alias("intercept"))
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("plot_corr_heatmap", section=S, sql="""
+select col_a, col_b, round(c, 8) as corr from (
+""" + "\n  union all\n".join(
+    f"  select 'c_acctbal' as col_a, '{v}' as col_b, corr(c_acctbal, cast(c_mktsegment = '{v}' as double)) as c from customer"
+    for v in SEGMENTS) + "\n)")
+def plot_corr_heatmap(t):
+    """Correlation of a numeric column with one-hot dummies, long form."""
+    c = t.customer
+    wide = c.agg(*[F.corr("c_acctbal", (F.col("c_mktsegment") == v).cast("double")).alias(v) for v in SEGMENTS])
+    longf = wide.unpivot([], SEGMENTS, "col_b", "c")
+    return longf.select(F.lit("c_acctbal").alias("col_a"), "col_b", F.round("c", 8).alias("corr"))
