@@ -1,2 +1,185 @@
-"""Plans module scans."""
-from quarry.catalog import query  # noqa: F401
+"""SURVEY 2.1: scans, sources, sinks and generated columns.
+
+Round-trip queries write to a fresh folder below the shared checkpoint
+folder and read the result back, so the check covers writer and reader."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+from quarry import sources as src
+from quarry.catalog import query
+
+S = "2.1"
+
+
+@query("scan_table", section=S, sql="select * from orders")
+def scan_table(t):
+    return t.orders
+
+
+@query("scan_parquet", section=S, sql="select o_orderkey, o_totalprice from orders where o_orderstatus = 'F'")
+def scan_parquet(t):
+    """Column pruning and filter pushdown reach the parquet scan."""
+    return src.read_parquet(t.spark, f"{t.sf_dir}/orders.parquet").where(F.col("o_orderstatus") == "F") \
+        .select("o_orderkey", "o_totalprice")
+
+
+@query("sink_parquet", section=S, sql="""
+select o_orderkey, o_custkey, o_totalprice, cast(year(o_orderdate) as integer) as yr from orders
+where o_orderdate >= timestamp '1998-01-01' and o_orderdate < timestamp '2000-01-01'
+""")
+def sink_parquet(t):
+    """Write partitioned by year, read back with partition pruning."""
+    path = src.scratch_dir(t.spark, "orders_by_year")
+    src.write_parquet(t.orders.select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("yr")),
+                      path, partition_by=["yr"])
+    back = src.read_parquet(t.spark, path)
+    return back.where(F.col("yr").isin(1998, 1999)).select("o_orderkey", "o_custkey", "o_totalprice", "yr")
+
+
+@query("scan_csv", section=S, sql="select * from orders")
+def scan_csv(t):
+    """Typed CSV read (explicit schema, header, encoding) of a CSV copy of orders."""
+    path = src.scratch_dir(t.spark, "orders_csv")
+    src.write_csv(t.orders, path)
+    return src.read_csv(t.spark, path, t.orders.schema, encoding="UTF-8")
+
+
+@query("sink_csv", section=S, sql="""
+select l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate from lineitem
+""")
+def sink_csv(t):
+    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
+    df = t.lineitem.select(*cols)
+    path = src.scratch_dir(t.spark, "lineitem_csv")
+    src.write_csv(df, path)
+    return src.read_csv(t.spark, path, df.schema)
+
+
+# The accepted date formats of the dirty input, in order.
+DIRTY_FORMATS = ["yyyy-MM-dd", "dd.MM.yyyy", "yyyy/MM/dd"]
+
+
+def render_dirty_orders(orders):
+    """Orders as dirty text: blank ids, three date formats, NA tokens."""
+    k = F.col("o_orderkey")
+    d = F.col("o_orderdate")
+    date_txt = (F.when(k % 3 == 0, F.date_format(d, DIRTY_FORMATS[0]))
+                .when(k % 3 == 1, F.date_format(d, DIRTY_FORMATS[1])).otherwise(F.date_format(d, DIRTY_FORMATS[2])))
+    return orders.select(
+        F.when(k % 97 == 0, F.lit(" ")).otherwise(k.cast("string")).alias("order_id"),
+        date_txt.alias("order_date"),
+        F.when(k % 89 == 0, F.lit("NA")).when(k % 89 == 1, F.lit(" n/a "))
+        .otherwise(F.col("o_totalprice").cast("string")).alias("amount"),
+        F.col("o_orderstatus").alias("status"))
+
+
+@query("scan_csv_dirty", section=S, sql="""
+select case when o_orderkey % 97 = 0 then null else o_orderkey end as order_id,
+       cast(o_orderdate as date) as order_date,
+       case when o_orderkey % 89 in (0, 1) then null else o_totalprice end as amount,
+       o_orderstatus as status
+from orders
+""")
+def scan_csv_dirty(t):
+    """Dirty CSV: NA tokens -> NULL, blank ids -> NULL, an ordered list of
+    date formats, try_cast for numbers.  Rows stay whole (no row is dropped);
+    ``read_csv_dirty(required=...)`` splits rejects off when asked."""
+    path = src.scratch_dir(t.spark, "dirty_csv")
+    src.write_csv(render_dirty_orders(t.orders), path)
+    clean, _rejects = src.read_csv_dirty(
+        t.spark, path, ["order_id", "order_date", "amount", "status"],
+        types={"order_id": "bigint", "order_date": "date", "amount": "double"},
+        date_formats={"order_date": DIRTY_FORMATS})
+    return clean
+
+
+
+
+@query("scan_json", section=S, sql="""
+select event_id, user_id, event_type, cast(json_extract(props, '$.k') as integer) as k from events
+""")
+def scan_json(t):
+    """JSON lines written and read back with a schema; the nested document
+    in ``props`` is parsed with from_json."""
+    path = src.scratch_dir(t.spark, "events_json")
+    ev = t.events.select("event_id", "user_id", "event_type", "props")
+    src.write_json(ev, path)
+    back = src.read_json(t.spark, path, ev.schema)
+    return back.select("event_id", "user_id", "event_type", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@query("sink_json", section=S, sql="""
+select o_orderkey, o_orderstatus, o_totalprice from orders
+""")
+def sink_json(t):
+    path = src.scratch_dir(t.spark, "orders_json")
+    df = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    src.write_json(df, path)
+    return src.read_json(t.spark, path, df.schema)
+
+
+@query("scan_json_array", section=S, sql="""
+select o_orderkey, unnest([{'id': o_custkey, 'score': 90}, {'id': o_custkey + 1, 'score': 85}], recursive := true)
+from orders
+""")
+def scan_json_array(t):
+    """A JSON array of objects per row -> rows (json.loads + DataFrame)."""
+    doc = F.format_string('[{"id":%d,"score":90},{"id":%d,"score":85}]', F.col("o_custkey"), F.col("o_custkey") + 1)
+    return t.orders.select("o_orderkey", src.json_array_rows(doc, "struct<id:bigint,score:int>"))
+
+
+@query("inline_table", section=S, sql="""
+select c.c_custkey, coalesce(m.discount, 0e0) as discount
+from customer c left join (values ('BUILDING', 0.1e0), ('AUTOMOBILE', 0.05e0)) m(segment, discount)
+  on m.segment = c.c_mktsegment
+""")
+def inline_table(t):
+    """A literal lookup table (createDataFrame) joined to a base table; the
+    literal has a fixed size, so it is broadcast."""
+    m = t.spark.createDataFrame([("BUILDING", 0.1), ("AUTOMOBILE", 0.05)],
+                                StructType([StructField("segment", StringType()), StructField("discount", DoubleType())]))
+    j = t.customer.join(F.broadcast(m), F.col("segment") == F.col("c_mktsegment"), "left")
+    return j.select("c_custkey", F.coalesce("discount", F.lit(0.0)).alias("discount"))
+
+
+@query("gen_dates", section=S, sql="""
+select unnest(generate_series(min(o_orderdate)::date, max(o_orderdate)::date, interval 1 day))::date as day from orders
+""")
+def gen_dates(t):
+    """Calendar between the first and last order date (sequence + explode,
+    not a recursive CTE)."""
+    b = t.orders.agg(F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi"))
+    return b.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
+
+
+@query("gen_numbers", section=S, sql="""
+with b as (select min(c_acctbal) as lo, max(c_acctbal) as hi from customer)
+select i, round(lo + i * (hi - lo) / 10, 6) as x from b, range(0, 11) r(i)
+""")
+def gen_numbers(t):
+    """linspace(min, max, 11) of account balances."""
+    b = t.customer.agg(F.min("c_acctbal").alias("lo"), F.max("c_acctbal").alias("hi"))
+    s = b.select("lo", "hi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(10).cast("bigint"))).alias("i"))
+    return s.select("i", F.round(F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / 10, 6).alias("x"))
+
+
+@query("gen_random", section=S)
+def gen_random(t):
+    """Seeded synthetic columns per row: uniform, normal, weighted choice."""
+    u = F.rand(42)
+    choice = F.when(u < 0.6, "visit").when(u < 0.9, "signup").otherwise("purchase")
+    return t.orders.select("o_orderkey", F.rand(7).alias("uniform"), F.randn(12).alias("normal"), choice.alias("event"))
+
+
+@query("sample_rows", section=S)
+def sample_rows(t):
+    """Seeded 70 % sample (the sampling operator itself)."""
+    return t.orders.sample(False, 0.7, seed=7)
+
+
+@query("sample_rows_hash", section=S)
+def sample_rows_hash(t):
+    """Reproducible 70 % sample independent of partitioning: hash of the key."""
+    return t.orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(10)) < 7)
