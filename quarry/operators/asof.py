@@ -57,8 +57,12 @@ def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd):
     rpay = [c for c in right.columns if c not in keys]
     L = (left.select(*kcols, F.col(left_on).alias("__t"), F.struct(*left.columns).alias("__L"))
          .withColumn("__b", bucket(F.col("__t"))))
+    # one right row per (key, time): ties resolve to the largest payload in
+    # both directions, so collapsing them first is exact and shrinks hot keys
+    # map-side (partial aggregation) before any sort.
     R = (right.where(F.col(right_on).isNotNull())
          .select(*kcols, F.col(right_on).alias("__t"), F.struct(*rpay).alias("__R"))
+         .groupBy(*knames, "__t").agg(F.max("__R").alias("__R"))
          .withColumn("__b", bucket(F.col("__t"))))
     parts = [L.withColumn("__phase", F.lit(1)).withColumn("__side", F.lit(1)),
              R.withColumn("__phase", F.lit(1)).withColumn("__side", F.lit(0))]

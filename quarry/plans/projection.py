@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
+from quarry.session import spread
 from quarry.functions import columns as C
 
 S = "2.2"
@@ -77,7 +78,7 @@ select doc_id from documents where contains(lower(strip_accents(text)), 'elle')
 """)
 def filter_like_ci_ai(t):
     """Case- and accent-insensitive substring match through a collation."""
-    return t.documents.where(F.contains(F.collate("text", "UNICODE_CI_AI"), F.lit("elle"))).select("doc_id")
+    return spread(t.documents.select("doc_id", "text")).where(F.contains(F.collate("text", "UNICODE_CI_AI"), F.lit("elle"))).select("doc_id")
 
 
 @query("filter_null", section=S, sql="""

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
+from quarry.session import spread
 from quarry.functions import columns as C
 
 S = "2.8"
@@ -31,7 +32,7 @@ select doc_id, case when trim(text) = '' then 0 else len(regexp_split_to_array(t
 from documents
 """)
 def str_split_count(t):
-    return t.documents.select("doc_id", C.word_count(F.col("text")).alias("n_words"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", C.word_count(F.col("text")).alias("n_words"))
 
 
 @query("str_join", section=S, sql="select c_custkey, concat_ws('-', c_name, c_mktsegment) as label from customer")
@@ -66,7 +67,7 @@ def regex_extract(t):
 select doc_id, unnest(regexp_extract_all(text, '{EMAIL}')) as email from documents
 """)
 def regex_findall(t):
-    return t.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(EMAIL), 0)).alias("email"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(EMAIL), 0)).alias("email"))
 
 
 @query("str_char_counts", section=S, sql="""

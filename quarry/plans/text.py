@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
+from quarry.session import spread
 from quarry.plans.scalars import EMAIL
 
 S = "2.13"
@@ -20,7 +21,7 @@ def word_count(t):
     """Word frequencies over whole documents, top 10 per language.  The
     explode + count is a partial aggregation; the top-k per language runs on
     the small (lang, word) table with a WindowGroupLimit."""
-    w = t.documents.select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where(F.col("word") != "")
+    w = spread(t.documents.select("lang", "text")).select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where(F.col("word") != "")
     c = w.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     rk = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
     return c.withColumn("rk", rk).where(F.col("rk") <= 10).select("lang", "word", "n")
@@ -30,7 +31,7 @@ def word_count(t):
 select ch, count(*) as n from (select unnest(string_split(text, '')) as ch from conversations) group by ch
 """)
 def char_count(t):
-    return (t.conversations.select(F.explode(F.split("text", "")).alias("ch"))
+    return (spread(t.conversations.select("text")).select(F.explode(F.split("text", "")).alias("ch"))
             .groupBy("ch").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -41,7 +42,7 @@ from e group by 1, 2
 """)
 def email_scan(t):
     """PII scan: every e-mail address in every document, totals per source and domain."""
-    e = t.documents.select("source", "doc_id", F.explode(F.regexp_extract_all("text", F.lit(EMAIL), 0)).alias("email"))
+    e = spread(t.documents.select("source", "doc_id", "text")).select("source", "doc_id", F.explode(F.regexp_extract_all("text", F.lit(EMAIL), 0)).alias("email"))
     return e.groupBy("source", F.lower(F.split_part("email", F.lit("@"), F.lit(2))).alias("domain")).agg(
         F.count(F.lit(1)).alias("n_emails"), F.countDistinct("doc_id").alias("n_docs"))
 
@@ -64,7 +65,7 @@ def brackets_unbalanced(t):
     st = F.aggregate(br, F.struct(F.lit(0).alias("d"), F.lit(0).alias("m")),
                      lambda acc, c: F.struct((acc["d"] + F.when(c == "(", 1).otherwise(-1)).alias("d"),
                                              F.least(acc["m"], acc["d"] + F.when(c == "(", 1).otherwise(-1)).alias("m")))
-    d = t.documents.select("source", br.alias("br"), st.alias("s")).where(F.size("br") > 0)
+    d = spread(t.documents.select("source", "text")).select("source", br.alias("br"), st.alias("s")).where(F.size("br") > 0)
     return d.groupBy("source").agg(F.count_if((F.col("s.m") < 0) | (F.col("s.d") != 0)).alias("n_unbalanced"),
                                    F.count(F.lit(1)).alias("n_with_brackets"))
 

@@ -57,6 +57,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster before heavy per-row work.
+
+    A file written as one large row group is read by one task; when the
+    scan has fewer partitions than the default parallelism, a round-robin
+    repartition lets the text work run on every core.  Scans that are
+    already split (the normal case for large inputs) are left alone, so no
+    shuffle is added at scale.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 class Tables:
     """Lazy access to the base parquet tables and the derived views.
 
