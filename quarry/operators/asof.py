@@ -74,19 +74,21 @@ def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd):
     for p in parts[1:]:
         rows = rows.unionByName(p, allowMissingColumns=True)
     is_right = F.col("__side") == 0
+    # right rows are unique per (key, time) after the pre-aggregation, so
+    # (phase, time, side) is a total order for the rows that matter.
     # tie order on equal time: inclusive -> right before left when looking back
     # (after when looking forward); strict -> the opposite.
     out = rows
     if back:
         tie = is_right.desc() if not strict else is_right.asc()
         w = (Window.partitionBy(*knames, "__b")
-             .orderBy(F.col("__phase"), F.col("__t"), tie, F.col("__R").asc_nulls_first())
+             .orderBy(F.col("__phase"), F.col("__t"), tie)
              .rowsBetween(Window.unboundedPreceding, 0))
         out = out.withColumn("__B", F.last("__R", ignorenulls=True).over(w))
     if fwd:
         tie = is_right.asc() if not strict else is_right.desc()
         w = (Window.partitionBy(*knames, "__b")
-             .orderBy(F.col("__phase"), F.col("__t"), tie, F.col("__R").desc_nulls_last())
+             .orderBy(F.col("__phase"), F.col("__t"), tie)
              .rowsBetween(0, Window.unboundedFollowing))
         out = out.withColumn("__F", F.first("__R", ignorenulls=True).over(w))
     return out.where(F.col("__L").isNotNull())
