@@ -41,7 +41,7 @@ def load_all() -> dict[str, Entry]:
     # Importing the plan modules fills the registry.
     from quarry.plans import (  # noqa: F401
         scans, projection, joins, aggregates, windows, sorting, setops, scalars,
-        reshape, analytics, quality, plotdata, text)
+        reshape, analytics, quality, plotdata, text, streams)
     return REGISTRY
 
 

@@ -75,3 +75,20 @@ select match_id, away_team_id, 0, away_score, home_score from matches
 def unpivot_roles(t):
     """One scan + generator instead of two scans and UNION ALL."""
     return team_perspective(t.matches, keep=["match_id"])
+
+
+@query("set_ops", section=S, sql="""
+select 'intersect' as op, nationkey from (select c_nationkey as nationkey from customer
+                                          intersect select s_nationkey from supplier)
+union all
+select 'union', nationkey from (select c_nationkey as nationkey from customer union select s_nationkey from supplier)
+union all
+select 'except', nationkey from (select c_nationkey as nationkey from customer except select s_nationkey from supplier)
+""")
+def set_ops(t):
+    """Intersection, union and difference of two key sets (set semantics)."""
+    a = t.customer.select(F.col("c_nationkey").alias("nationkey"))
+    b = t.supplier.select(F.col("s_nationkey").alias("nationkey"))
+    return (a.intersect(b).select(F.lit("intersect").alias("op"), "nationkey")
+            .unionByName(a.union(b).distinct().select(F.lit("union").alias("op"), "nationkey"))
+            .unionByName(a.subtract(b).select(F.lit("except").alias("op"), "nationkey")))
