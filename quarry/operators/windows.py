@@ -94,9 +94,9 @@ def _range_buckets(df: DataFrame, lead: str, ascending: bool, k: int, accuracy:
     df = df.withColumn("__bounds", bounds)
     c = F.col(lead)
     pos = F.size(F.filter(F.col("__bounds"), lambda x: x < c))
-    bid = F.when(c.isNull(), F.lit(-1 if ascending else k + 1)).otherwise(pos)
-    if not ascending:
-        bid = -bid
+    # ascending: NULLs first (bucket -1); descending: NULLs last (bucket +1
+    # after the ids are negated)
+    bid = F.when(c.isNull(), F.lit(-1 if ascending else 1)).otherwise(pos if ascending else -pos)
     return df.withColumn("__bk", bid).drop("__bounds")
 
 
