@@ -97,60 +97,74 @@ def _range_buckets(df: DataFrame, lead: str, ascending: bool, k: int, accuracy:
     # ascending: NULLs first (bucket -1); descending: NULLs last (bucket +1
     # after the ids are negated)
     bid = F.when(c.isNull(), F.lit(-1 if ascending else 1)).otherwise(pos if ascending else -pos)
-    return df.withColumn("__bk", bid).drop("__bounds")
-
-
-def _with_offsets(df: DataFrame, k_col: str, count_expr: Column, name: str) -> DataFrame:
-    counts = df.groupBy(k_col).agg(count_expr.alias("__cnt"))
-    w = Window.orderBy(k_col).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket: the single-partition window and the broadcast are bounded
-    offs = counts.select(k_col, F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias(name),
-                         F.sum("__cnt").over(Window.orderBy(k_col).rowsBetween(
-                             Window.unboundedPreceding, Window.unboundedFollowing)).alias("__total"))
-    return df.join(F.broadcast(offs), k_col)
+    return df.withColumn("__gr_bk", bid).drop("__bounds")
 
 
 def _order(order: Sequence[tuple[str, bool]]):
     return [F.col(c).asc_nulls_first() if a else F.col(c).desc_nulls_last() for c, a in order]
 
 
-def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], kind: str = "row_number",
-                alias: str = "rn", buckets: int = 64, ntiles: int | None = None) -> DataFrame:
-    """Distributed ORDER BY-only ranking.
+def global_ranks(df: DataFrame, order: Sequence[tuple[str, bool]], outputs: dict[str, str],
+                 buckets: int = 64, ntiles: int | None = None) -> DataFrame:
+    """Several ORDER BY-only rankings in one pass over the data.
 
-    ``order`` is a list of (column, ascending); the first column must be
-    orderable by ``percentile_approx`` (numeric, date, timestamp).
-    ``kind``: row_number | rank | dense_rank | percent_rank | ntile.
-    Results equal ``F.<kind>().over(Window.orderBy(...))`` (NULLs first on
-    ascending, last on descending, as Spark's defaults).
+    ``outputs`` maps an output column to a kind: row_number | rank |
+    dense_rank | percent_rank | ntile.  ``order`` is a list of (column,
+    ascending); the first column must suit ``percentile_approx`` (numeric,
+    date, timestamp).  Results equal ``F.<kind>().over(Window.orderBy(...))``
+    with Spark's NULL order (first on ascending, last on descending).
     """
     lead, asc = order[0]
     b = _range_buckets(df, lead, asc, buckets)
-    ob = _order(order)
-    wloc = Window.partitionBy("__bk").orderBy(*ob)
-    if kind == "dense_rank":
-        b = b.withColumn("__loc", F.dense_rank().over(wloc))
-        b = _with_offsets(b, "__bk", F.max("__loc"), "__off")
-        return b.withColumn(alias, F.col("__off") + F.col("__loc")).drop("__bk", "__loc", "__off", "__total")
-    if kind in ("rank", "percent_rank"):
-        b = b.withColumn("__loc", F.rank().over(wloc))
-    else:
-        b = b.withColumn("__loc", F.row_number().over(wloc))
-    b = _with_offsets(b, "__bk", F.count(F.lit(1)), "__off")
-    r = F.col("__off") + F.col("__loc")
-    n = F.col("__total")
-    if kind == "percent_rank":
-        val = F.when(n <= 1, F.lit(0.0)).otherwise((r - 1) / (n - 1))
-    elif kind == "ntile":
-        k = F.lit(ntiles)
-        q = F.floor(n / k)
-        rem = n % k
-        big = rem * (q + 1)
-        val = F.when(q == 0, r).when(r <= big, F.floor((r - 1) / (q + 1)) + 1) \
-            .otherwise(rem + F.floor((r - 1 - big) / q) + 1).cast("int")
-    else:
-        val = r
-    return b.withColumn(alias, val).drop("__bk", "__loc", "__off", "__total")
+    wloc = Window.partitionBy("__gr_bk").orderBy(*_order(order))
+    kinds = set(outputs.values())
+    if kinds & {"row_number", "ntile"}:
+        b = b.withColumn("__gr_rn", F.row_number().over(wloc))
+    if kinds & {"rank", "percent_rank"}:
+        b = b.withColumn("__gr_rk", F.rank().over(wloc))
+    if "dense_rank" in kinds:
+        b = b.withColumn("__gr_dr", F.dense_rank().over(wloc))
+    # one row per bucket: counts (and distinct counts) turned into offsets by
+    # a window over the bucket table; its size is bounded by ``buckets``
+    aggs = [F.count(F.lit(1)).alias("__gr_cnt")]
+    if "dense_rank" in kinds:
+        aggs.append(F.max("__gr_dr").alias("__gr_dcnt"))
+    counts = b.groupBy("__gr_bk").agg(*aggs)
+    before = Window.orderBy("__gr_bk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("__gr_bk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offs = counts.select("__gr_bk", F.coalesce(F.sum("__gr_cnt").over(before), F.lit(0)).alias("__gr_off"),
+                         F.sum("__gr_cnt").over(whole).alias("__gr_total"),
+                         *([F.coalesce(F.sum("__gr_dcnt").over(before), F.lit(0)).alias("__gr_doff")]
+                           if "dense_rank" in kinds else []))
+    b = b.join(F.broadcast(offs), "__gr_bk")
+    n = F.col("__gr_total")
+    for alias, kind in outputs.items():
+        if kind == "row_number":
+            val = F.col("__gr_off") + F.col("__gr_rn")
+        elif kind == "rank":
+            val = F.col("__gr_off") + F.col("__gr_rk")
+        elif kind == "dense_rank":
+            val = F.col("__gr_doff") + F.col("__gr_dr")
+        elif kind == "percent_rank":
+            r = F.col("__gr_off") + F.col("__gr_rk")
+            val = F.when(n <= 1, F.lit(0.0)).otherwise((r - 1) / (n - 1))
+        elif kind == "ntile":
+            r = F.col("__gr_off") + F.col("__gr_rn")
+            k = F.lit(ntiles)
+            q = F.floor(n / k)
+            rem = n % k
+            big = rem * (q + 1)
+            val = F.when(q == 0, r).when(r <= big, F.floor((r - 1) / (q + 1)) + 1) \
+                .otherwise(rem + F.floor((r - 1 - big) / q) + 1).cast("int")
+        else:
+            raise ValueError(f"unknown ranking {kind}")
+        b = b.withColumn(alias, val)
+    return b.drop(*[c for c in b.columns if c.startswith("__gr_")])
+
+
+def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], kind: str = "row_number",
+                alias: str = "rn", buckets: int = 64, ntiles: int | None = None) -> DataFrame:
+    return global_ranks(df, order, {alias: kind}, buckets, ntiles)
 
 
 def global_row_number(df: DataFrame, order: Sequence[tuple[str, bool]], alias: str = "rn",

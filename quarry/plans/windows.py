@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.operators.windows import global_rank, running_sum, trailing
+from quarry.operators.windows import global_rank, global_ranks, running_sum, trailing
 
 S = "2.5"
 def _wc():
@@ -77,9 +77,7 @@ from sums
 def win_rank_dense(t):
     """RANK and DENSE_RANK over all customers without a single-partition
     window: range buckets + offsets (see operators.windows)."""
-    s = _sums(t)
-    r = global_rank(s, [("total", False)], "rank", "rnk")
-    return global_rank(r, [("total", False)], "dense_rank", "drnk")
+    return global_ranks(_sums(t), [("total", False)], {"rnk": "rank", "drnk": "dense_rank"})
 
 
 @query("win_percent_rank", section=S, sql=f"""
