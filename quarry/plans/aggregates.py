@@ -273,8 +273,9 @@ select o_custkey, max(gap) as max_gap_days from g group by o_custkey having max(
 """)
 def agg_max_gap(t):
     """Largest day gap between consecutive orders of a customer."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    g = t.orders.select("o_custkey", F.datediff(F.to_date("o_orderdate"),
-                                                F.to_date(F.lag("o_orderdate").over(w))).alias("gap"))
+    from quarry.operators.windows import trailing
+    o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
+    prev = trailing(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate", -1, -1,
+                    {"prev_date": (F.max, "o_orderdate")}, bucket=lambda c: F.date_trunc("year", c))
+    g = prev.select("o_custkey", F.datediff(F.to_date("o_orderdate"), F.to_date("prev_date")).alias("gap"))
     return g.groupBy("o_custkey").agg(F.max("gap").alias("max_gap_days")).where(F.col("max_gap_days").isNotNull())

@@ -21,8 +21,24 @@ def _sums(t):
 select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as rn from orders
 """)
 def win_row_number(t):
-    w = _wc().orderBy("o_orderdate", "o_orderkey")
-    return t.orders.select("o_custkey", "o_orderkey", F.row_number().over(w).alias("rn"))
+    """Row number per customer as a running count: per (customer, year)
+    numbering plus the counts of earlier years, so a hot customer spreads
+    over its years."""
+    o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", F.lit(1).alias("one"))
+    r = running_sum(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate", "one", "rn", bucket=_year)
+    return r.select("o_custkey", "o_orderkey", "rn")
+
+
+def _year(c):
+    return F.date_trunc("year", c)
+
+
+def _prev_price(t):
+    """Previous order amount of the customer: a one-row trailing frame with
+    halo rows from earlier years (hot-key safe lag)."""
+    o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return trailing(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate", -1, -1,
+                    {"prev": (F.max, "o_totalprice")}, bucket=_year)
 
 
 @query("win_latest_per_group", section=S, sql="""
@@ -125,8 +141,7 @@ select o_custkey, o_orderkey, o_totalprice - lag(o_totalprice) over (partition b
 from orders
 """)
 def win_lag_diff(t):
-    w = _wc().orderBy("o_orderdate", "o_orderkey")
-    return t.orders.select("o_custkey", "o_orderkey", (F.col("o_totalprice") - F.lag("o_totalprice").over(w)).alias("diff"))
+    return _prev_price(t).select("o_custkey", "o_orderkey", (F.col("o_totalprice") - F.col("prev")).alias("diff"))
 
 
 @query("win_pct_change", section=S, sql="""
@@ -136,9 +151,8 @@ select o_custkey, o_orderkey, (v - p) / nullif(p, 0) as pct_change from l
 """)
 def win_pct_change(t):
     """Relative change; division by a zero previous value gives NULL."""
-    w = _wc().orderBy("o_orderdate", "o_orderkey")
-    p = F.lag("o_totalprice").over(w)
-    return t.orders.select("o_custkey", "o_orderkey", F.try_divide(F.col("o_totalprice") - p, p).alias("pct_change"))
+    p = F.col("prev")
+    return _prev_price(t).select("o_custkey", "o_orderkey", F.try_divide(F.col("o_totalprice") - p, p).alias("pct_change"))
 
 
 @query("win_running_total", section=S, sql="""
