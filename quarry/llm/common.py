@@ -5,8 +5,11 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quarry.session import ensure_checkpoint_dir
 
@@ -41,10 +44,10 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in pieces whose text takes about ``most_bytes`` (one row at least), so long texts do not add up."""
     start = held = 0
-    for i, n in enumerate(pa.compute.binary_length(batch.column(column)).to_pylist()):
+    for i, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
         if held and held + (n or 0) > most_bytes:
             yield batch.slice(start, i - start)
             start, held = i, 0
@@ -53,15 +56,32 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Ite
         yield batch.slice(start)
 
 
-def map_texts(df: DataFrame, column: str, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]
-              ) -> DataFrame:
-    """``mapInArrow`` over bounded pieces of each batch.  ``make`` runs once a task and returns the function of a piece."""
+def with_text_columns(df: DataFrame, text: str, fields: list[T.StructField], keep: list[str],
+                      make: Callable[[], Callable[[pa.Array], list]]) -> DataFrame:
+    """The columns ``keep`` of ``df`` and ``fields``, computed from the whole texts with ``mapInArrow``.
+
+    ``make`` runs once a task; its result gets the texts of a bounded piece (an Arrow array with nulls) and returns
+    one Arrow array a field.  A field replaces a kept column of the same name.
+    """
+    new = [f.name for f in fields]
+    plain = isinstance(df.schema[text].dataType, T.StringType)
+    carry = text if plain and text in keep and text not in new else "quarry text"
+    keep = [c for c in keep if c not in new]
+    cols = [F.col(f"`{c}`") for c in keep]
+    if carry not in keep:
+        cols.append(F.col(f"`{text}`").cast("string").alias(carry))
+    schema = T.StructType([*[df.schema[c] for c in keep], *fields])
+    arrow = [to_arrow_type(f.dataType) for f in fields]
+    at = keep.index(carry) if carry in keep else len(keep)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for batch in batches:
-            for piece in slices(batch, column):
-                yield f(piece)
-    return df.mapInArrow(run, schema)
+            for piece in slices(batch, at):
+                made = f(piece.column(at))
+                made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, arrow)]
+                yield pa.RecordBatch.from_arrays([*piece.columns[:len(keep)], *made], names=[*keep, *new])
+    return df.select(*cols).mapInArrow(run, schema)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import mixing
+from quarry.llm import mixing, quality_gbt, secrets, sentencepiece_codec, simhash
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE_SQL: dict[str, str] = {}
@@ -25,6 +25,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each text's SentencePiece ids and of what they decode to."""
+    coded = sentencepiece_codec.encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"),
+                                                  keep=["doc_id"])
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of the secrets of each text."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda x: x["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
+
+
 @query("op6_mix_sources", sql="""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size,
@@ -59,3 +87,17 @@ from c
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document, sources weighing 5, 2, 1."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of the quality rules for each document."""
+    return quality_gbt.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of each document: 4-word shingles, 4 bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, most=4).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
