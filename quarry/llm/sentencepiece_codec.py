@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from quarry.llm.common import with_text_columns
 
 SPACE = "▁"
-MEMO = 200_000           # chunks, and token pairs, held by a Python worker before the memo starts anew
+MEMO = 250_000           # chunks in each of the two generations of a Python worker's memo
+PAIRS = 1_000_000        # pairs of tokens held before their memo starts anew
 
 
 class PrefixTable:
@@ -44,78 +45,109 @@ class PrefixTable:
         self.score = {p: sp.get_score(i) for p, i in self.id.items()}
         self.piece = {i: p for p, i in self.id.items()}
         self.chars = {p for p in self.id if len(p) == 1}
+        line = "" if any("\n" in p for p in self.id) else "\n"
+        self.cut = re.compile(f"{SPACE}+[^{SPACE}{line}]*|[^{SPACE}{line}]+" + (f"|{line}" if line else "")).findall
         self.automaton = ahocorasick.Automaton()
         for p, i in self.id.items():
             self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
         self.end_id = sp.eos_id()
         self.chunks: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-
-    def merged(self, text: str) -> list[str]:
-        """BPE of a short text by its definition: the best merge first, the leftmost of equals."""
-        parts, score = list(text), self.score
-        gains = [score.get(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            best, at = None, -1
-            for i, g in enumerate(gains):
-                if g is not None and (best is None or g > best):
-                    best, at = g, i
-            if at < 0:
-                return parts
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            del gains[at]
-            if at < len(gains):
-                gains[at] = score.get(parts[at] + parts[at + 1])
-            if at:
-                gains[at - 1] = score.get(parts[at - 1] + parts[at])
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.built: dict[int, tuple[list[float], list[str], list[str]] | None] = {}
+
+    def steps(self, token: int) -> tuple[list[float], list[str], list[str]] | None:
+        """How BPE builds a token from its characters, the best merge first and the leftmost of equals: the score of each
+        merge, and the outermost left and right parts before each merge and at the end.  None if it does not build it."""
+        if token not in self.built:
+            parts = list(self.piece[token])
+            scores, lefts, rights = [], [parts[0]], [parts[-1]]
+            while len(parts) > 1:
+                gains = [(self.score.get(a + b, None), -i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+                gains = [g for g in gains if g[0] is not None]
+                if not gains:
+                    break
+                best, at = max(gains)
+                parts[-at:2 - at] = [parts[-at] + parts[1 - at]]
+                scores.append(best)
+                lefts.append(parts[0])
+                rights.append(parts[-1])
+            self.built[token] = (scores, lefts, rights) if len(parts) == 1 else None
+        return self.built[token]
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether the two tokens may stand side by side; ``left`` is -1 at the start of a chunk."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            b = self.piece[right]
-            a = self.piece[left] if left >= 0 else ""
-            known = self.merged(a + b) == ([a, b] if a else [b])
-            if len(self.pairs) >= 4 * MEMO:
-                self.pairs.clear()
-            self.pairs[left, right] = known
-        return known
+        """Whether the two tokens may stand side by side; ``left`` is -1 at the start of a chunk.
+
+        Their merges run in the order in which BPE of the joint text takes them; the tokens are compatible unless a
+        merge of the parts on both sides of the border comes to be the best one.
+        """
+        b = self.steps(right)
+        if left < 0 or b is None:
+            return b is not None
+        a = self.steps(left)
+        if a is None:
+            return False
+        (sa, _, inner_a), (sb, inner_b, _) = a, b
+        i = j = 0
+        while True:
+            across = self.score.get(inner_a[i] + inner_b[j])
+            if i < len(sa) and (j == len(sb) or sa[i] >= sb[j]):
+                if across is not None and across > sa[i]:
+                    return False
+                i += 1
+            elif j < len(sb):
+                if across is not None and across >= sb[j]:
+                    return False
+                j += 1
+            else:
+                return across is None
 
     def segment(self, text: str) -> list[int]:
         """Ids of a text whose characters are all pieces."""
-        last, at, compatible = [-1] * len(text), [0] * len(text), self.compatible
-        for end, (token, n) in self.automaton.iter(text):
+        n, pairs = len(text), self.pairs
+        last, at = [-1] * (n + 1), [0] * (n + 1)       # of the prefix of each length: last token, and where it starts
+        for end, (token, size) in self.automaton.iter(text):
+            end += 1
             if last[end] < 0:
-                start = end - n + 1
-                if compatible(last[start - 1] if start else -1, token):
-                    last[end], at[end] = token, start
-        ids, i = [], len(text) - 1
-        while i >= 0:
-            ids.append(last[i])
-            i = at[i] - 1
-        return ids[::-1]
+                left = last[end - size]
+                key = (left << 32) + token
+                fits = pairs.get(key)
+                if fits is None:
+                    if len(pairs) >= PAIRS:
+                        pairs.clear()
+                    fits = pairs[key] = self.compatible(left, token)
+                if fits:
+                    last[end], at[end] = token, end - size
+        ids = []
+        while n:
+            ids.append(last[n])
+            n = at[n]
+        ids.reverse()
+        return ids
 
     def chunk(self, text: str) -> tuple[int, ...]:
         """Ids of a chunk; a character that is no piece stands for its UTF-8 bytes and splits the text around it."""
         ids = self.chunks.get(text)
         if ids is None:
-            if self.chars.issuperset(text):
-                found = self.segment(text)
-            else:
-                found, run = [], []
-                for c in [*text, ""]:
-                    if c and c in self.chars:
-                        run.append(c)
-                        continue
-                    if run:
-                        found += self.segment("".join(run))
-                        run = []
-                    found += [self.bytes[b] for b in c.encode()]
-            ids = tuple(found)
+            ids = self.older.get(text)
+            if ids is None:
+                if self.chars.issuperset(text):
+                    ids = tuple(self.segment(text))
+                else:
+                    found, run = [], []
+                    for c in [*text, ""]:
+                        if c and c in self.chars:
+                            run.append(c)
+                            continue
+                        if run:
+                            found += self.segment("".join(run))
+                            run = []
+                        found += [self.bytes[b] for b in c.encode()]
+                    ids = tuple(found)
             if len(text) <= 64:
-                if len(self.chunks) >= MEMO:
-                    self.chunks.clear()
+                if len(self.chunks) >= MEMO:       # what was used since the last turn stays
+                    self.older, self.chunks = self.chunks, {}
                 self.chunks[text] = ids
         return ids
 
@@ -123,10 +155,7 @@ class PrefixTable:
         """All ids of ``text`` and the end id."""
         ids: list[int] = []
         if text:
-            if "  " in text or text[0] == " " or text[-1] == " " or SPACE in text:
-                chunks = re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))
-            else:
-                chunks = [SPACE + w for w in text.split(" ")]
+            chunks = self.cut(SPACE + text.replace(" ", SPACE))
             memo = self.chunks.get
             found = [memo(c) for c in chunks]
             if None in found:
