@@ -13,6 +13,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from quarry.session import ensure_checkpoint_dir
 
+EDGES_A_FILE = 1_000_000
+
 
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A fresh folder name below the session's shared checkpoint folder."""
@@ -88,30 +90,29 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """Label the nodes of undirected ``edges`` with the smallest node of their component: rows (node, component).
 
     Alternates the large-star and small-star steps: every node hands its larger (then its other) neighbours over to
-    its smallest one until nothing changes.  A step is one grouped minimum with map-side combining and one join on
-    the node, which AQE may split at a hub; the edges of each step are a written table, so no lineage builds up.
-    Rows with a null end are ignored.
+    its smallest one, until each node hangs on just one root.  A step is one grouped minimum with map-side combining
+    and one join on the node, which AQE may split at a hub; the edges of each round are a written table, so no lineage
+    builds up.  Rows with a null end are ignored.
     """
     state = written(edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
                     .where(f"`{a}` is not null and `{b}` is not null and lo <> hi").distinct(), "edges")
-    mark = None
+    parts = state.count() // EDGES_A_FILE + 1          # rounds only shrink the edges to one a node
     while True:
-        # large star: larger neighbours of u go to the smallest neighbour of u (or u)
+        ends = state.selectExpr("hi n", "1L up", "0L down").union(state.selectExpr("lo n", "0L up", "1L down"))
+        if ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty():
+            break
+        # large star: the larger neighbours of u go to the smallest neighbour of u (or u)
         both = state.selectExpr("lo u", "hi v").union(state.selectExpr("hi u", "lo v"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(least, "u").where("v > u").selectExpr("m lo", "v hi").where("lo <> hi").distinct())
+        large = both.join(least, "u").where("v > u").selectExpr("m lo", "v hi")
         # small star: u and its smaller neighbours go to the smallest of them
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = (large.join(least, "hi").select(F.explode(F.array(
             F.struct(F.col("m").alias("lo"), F.col("lo").alias("hi")),
             F.struct(F.col("m").alias("lo"), F.col("hi").alias("hi")))).alias("e"))
             .select("e.lo", "e.hi").where("lo <> hi").distinct())
-        new = written(small, "edges")
-        now = tuple(new.agg(F.count("*"), F.bit_xor(F.xxhash64("lo", "hi"))).first())
+        new = written(small.coalesce(parts), "edges")
         forget(state)
         state = new
-        if now == mark or now[0] == 0:
-            break
-        mark = now
     return (state.selectExpr("hi node", "lo component")
             .union(state.selectExpr("lo node", "lo component").distinct()))

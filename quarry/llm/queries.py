@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quarry.llm import mixing, quality_gbt, secrets, sentencepiece_codec, simhash
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +102,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document: 4-word shingles, 4 bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, most=4).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py, one after the other."""
+    return corpus_pipeline.run(spark, sf_dir)

@@ -7,8 +7,9 @@ four bits do (four differing bits spoil at most four blocks).  Each class carrie
 more than the limit is discarded, and the survivors are verified on the fingerprints themselves.
 
 A large group of near copies would give a square number of pairs, so links are first sought only between the members
-of a bucket and a few of its members (its smallest and largest fingerprints in several orders); the components of
-those links need no more pairs inside, and the pair search covers only classes that are still apart.
+of a bucket and a few of its members (its smallest and largest fingerprints in several orders).  Two classes that
+hang on the same one of these need no link of their own; the pair search covers the others, and only the links
+between such stars leave it.
 """
 from __future__ import annotations
 
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import connected_components, forget, free_name, with_text_columns, written
+from quarry.llm.common import connected_components, free_name, with_text_columns, written
 
 SEED = 42
 BLOCKS = (11, 11, 11, 11, 10, 10)
@@ -95,38 +96,38 @@ def buckets(fp: Column) -> Column:
                      for k, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))])
 
 
-def link_classes(fps: DataFrame, most: int = 4) -> DataFrame:
-    """From distinct fingerprints (column ``fp``) links (a, b) that connect just what links within ``most`` connect."""
+def links_between(classes: DataFrame, most: int = 4) -> DataFrame:
+    """From distinct fingerprints (fp) with their names (node) links (a, b) of nodes that connect just what all links
+    within ``most`` bits connect."""
     if not 0 <= most <= 4:
         raise ValueError("two of six blocks agree for at most four differing bits")
     p = pivot_columns(F.col("fp"))
-    dealt = written(fps.select("fp", *[c.alias(f"p{i}") for i, c in enumerate(p)],
-                               F.explode(buckets(F.col("fp"))).alias("bucket")), "simhash")
-    close = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= most
+
+    def dealt(df: DataFrame, *more: str) -> DataFrame:
+        return df.select("fp", "node", *more, *[c.alias(f"p{i}") for i, c in enumerate(p)],
+                         F.explode(buckets(F.col("fp"))).alias("bucket"))
+    close = within("x", "y", most) & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= most)
     # a few members of each bucket that holds several: the ends of the orders by the fingerprint and by its hashes
+    member = F.struct("fp", "node")
     orders = [F.col("fp"), *[F.xxhash64(F.col("fp"), F.lit(i)) for i in range(1, STARS // 2)]]
-    stars = (dealt.groupBy("bucket").agg(F.count("*").alias("n"),
-                                         F.array_distinct(F.array(*[f("fp", o) for o in orders for f in (F.min_by, F.max_by)])).alias("star"))
-             .where("n > 1").select("bucket", F.explode("star").alias("fp")))
-    stars = stars.select("bucket", "fp", *[c.alias(f"p{i}") for i, c in enumerate(p)])
-    pairs = (dealt.alias("x").join(stars.alias("y"), F.col("x.bucket") == F.col("y.bucket"))
-             .where((F.col("x.fp") != F.col("y.fp")) & within("x", "y", most) & close)
-             .select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct())
-    star_links = written(pairs, "simhash")
-    found = written(connected_components(star_links), "simhash")
-    # the rest: pairs of classes that those links have not joined
-    label = F.coalesce(F.col("component"), F.col("fp"))
-    marked = (dealt.join(found, dealt.fp == found.node, "left").withColumn("label", label)
-              .select("fp", "bucket", "label", *[f"p{i}" for i in range(PIVOTS // LANES)]))
+    stars = (dealt(classes).groupBy("bucket").agg(
+        F.count("*").alias("n"), F.array_distinct(F.array(*[f(member, o) for o in orders for f in (F.min_by, F.max_by)])).alias("star"))
+        .where("n > 1").select("bucket", F.explode("star").alias("s")).select("bucket", "s.fp", "s.node"))
+    stars = stars.select("bucket", "fp", "node", *[c.alias(f"p{i}") for i, c in enumerate(p)])
+    near = written(
+        dealt(classes).alias("x").join(stars.alias("y"), F.col("x.bucket") == F.col("y.bucket"))
+        .where((F.col("x.fp") != F.col("y.fp")) & close)
+        .groupBy(F.col("x.fp").alias("fp"), F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("n")),
+        "simhash")
+    # the rest: pairs that do not hang on the same star already
+    label = near.groupBy("fp").agg(F.min("b").alias("star"))
+    marked = dealt(classes.join(label.withColumnRenamed("fp", "near_fp"), F.col("fp") == F.col("near_fp"), "left")
+                   .select("fp", "node", F.least("star", "node").alias("label")), "label")
     x, y = marked.alias("x"), marked.alias("y")
     rest = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.fp") < F.col("y.fp"))
-                   & (F.col("x.label") != F.col("y.label")) & within("x", "y", most) & close)
-            .groupBy(F.least("x.label", "y.label").alias("a"), F.greatest("x.label", "y.label").alias("b")).agg(F.count("*").alias("n"))
-            .select("a", "b"))
-    links = written(found.where("node <> component").selectExpr("node a", "component b").union(rest), "simhash")
-    for old in (dealt, star_links, found):
-        forget(old)
-    return links
+                   & (F.col("x.label") != F.col("y.label")) & close)
+            .groupBy(F.col("x.label").alias("a"), F.col("y.label").alias("b")).agg(F.count("*").alias("n")))
+    return near.select("a", "b").union(rest.select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, most: int = 4
@@ -143,11 +144,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # a class is named by its smallest id; one without any comes behind all others and is named by its fingerprint
     classes = written(facts.groupBy("fp").agg(F.min(key).alias("first")).select(
         "fp", F.struct(F.col("first").isNull().alias("unnamed"), F.coalesce("first", "fp").alias("id")).alias("node")), "simhash")
-    links = link_classes(classes.select("fp"), most)
-    ends = [classes.select(F.col("fp").alias(f"fp_{x}"), F.col("node").alias(f"node_{x}")) for x in "ab"]
-    named = (links.join(ends[0], links.a == F.col("fp_a")).join(ends[1], links.b == F.col("fp_b"))
-             .select("node_a", "node_b"))
-    found = connected_components(named, "node_a", "node_b").withColumnRenamed("node", "member")
+    found = connected_components(links_between(classes, most)).withColumnRenamed("node", "member")
     labelled = classes.join(found, classes.node == found.member, "left").select(
         "fp", F.coalesce("component", "node").alias("c"))
     labelled = labelled.select("fp", F.when(~F.col("c.unnamed"), F.col("c.id")).alias("component_id"))
