@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import mixing, quality_gbt, secrets, sentencepiece_codec, simhash
+from quarry.llm import mixing, quality_gbt, secrets, sentencepiece_codec, simhash, warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE_SQL: dict[str, str] = {}
@@ -54,6 +54,25 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.joined(F.col("spans")).alias("spans"))
 
 
+@query("op4_warc", sql="""
+with p as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+g as (select payload_digest, max(page_id) as origin from p where payload_bytes >= 1000 group by payload_digest)
+select p.page_id, p.payload_bytes::bigint as payload_bytes, p.payload_digest,
+       case when p.page_id < g.origin then 'revisit' else 'response' end as record_type,
+       case when p.page_id < g.origin then g.origin end as refers_to
+from p left join g using (payload_digest)
+""")
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's capture as read back from the archives."""
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    return warc.round_trip(pages).select(
+        F.col("metadata")["page-id"].cast(kind).alias("page_id"), F.col("capture.payload_bytes").alias("payload_bytes"),
+        F.substring_index("capture.payload_digest", ":", -1).alias("payload_digest"),
+        F.col("capture.type").alias("record_type"), F.col("refers_to_metadata")["page-id"].cast(kind).alias("refers_to"))
+
+
 @query("op6_mix_sources", sql="""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size,
