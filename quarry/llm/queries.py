@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import mixing, quality_gbt, secrets, sentencepiece_codec, simhash, warc
+from quarry.llm import embed_dedup, mixing, quality_gbt, secrets, sentencepiece_codec, simhash, warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE_SQL: dict[str, str] = {}
@@ -123,6 +123,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op10_embedding_links")
+def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of each vector at cosine 0.9."""
+    found = embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), limit=0.9)
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after the other."""
