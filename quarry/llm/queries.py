@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import embed_dedup, mixing, quality_gbt, secrets, sentencepiece_codec, simhash, warc
+from quarry.llm import embed_dedup, idfile, mixing, quality_gbt, secrets, sentencepiece_codec, simhash, warc
+from quarry.llm.common import shared_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE_SQL: dict[str, str] = {}
@@ -109,6 +110,14 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's ids as read back from the token files."""
+    path = shared_path(spark, "ids")
+    idfile.write_ids(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    return idfile.read_documents(spark, path)
+
+
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of the quality rules for each document."""
