@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import embed_dedup, idfile, mixing, quality_gbt, secrets, sentencepiece_codec, simhash, warc
+from quarry.llm import crf_langid, embed_dedup, idfile, mixing, quality_gbt, secrets, sentencepiece_codec, simhash, warc
 from quarry.llm.common import shared_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,14 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("capture.type").alias("record_type"), F.col("refers_to_metadata")["page-id"].cast(kind).alias("refers_to"))
 
 
+@query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document by a field learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = crf_langid.predict(docs, crf_langid.learn(docs), keep=["doc_id"])
+    return found.select("doc_id", crf_langid.split_rule(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query("op6_mix_sources", sql="""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size,
