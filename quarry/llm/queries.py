@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import crf_langid, embed_dedup, idfile, mixing, quality_gbt, secrets, sentencepiece_codec, simhash, warc
+from quarry.llm import compact_windows, crf_langid, embed_dedup, idfile, mixing, quality_gbt, secrets, sentencepiece_codec, simhash, warc
 from quarry.llm.common import shared_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_repeated_passages")
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that (nearly) repeat in another document."""
+    return compact_windows.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each text's SentencePiece ids and of what they decode to."""
