@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from quarry.llm.common import slices
 
 MAGIC = b"QTB2"
-BLOCK, LANES = 4096, 1024            # tokens in a block; blocks coded side by side
-SLOTS = 11                           # bits of a context's place in a block's tables
+BLOCK, LANES = 4096, 1536            # tokens in a block; blocks coded side by side
+SLOTS = 10                           # bits of a context's place in a block's tables
 REFRESH, FADE = 512, 64              # steps between new order-0 frequencies; between looks at large counts
 LOW, TOP = np.uint64(1 << 32), np.uint64((1 << 48) - 1)
 HEAD, ENTRY = struct.Struct("<4sIBIIQQ"), np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("begins", "u1"), ("tokens", "<u4")])
@@ -108,8 +108,7 @@ def encode_blocks(ids: list[np.ndarray], shift: int) -> list[np.ndarray]:
     out, pos = np.zeros((n, 2 * steps + 8), np.uint32), np.zeros(n, np.int64)
     sh, wide = np.uint64(shift), np.uint64(12 + shift)
 
-    def shift_out(lanes: np.ndarray) -> None:
-        small = lanes[rng[lanes] < LOW]
+    def shift_out(small: np.ndarray) -> None:
         while small.size:
             out[small, pos[small]] = low[small] >> np.uint64(32)
             pos[small] += 1
@@ -130,7 +129,7 @@ def encode_blocks(ids: list[np.ndarray], shift: int) -> list[np.ndarray]:
         r = rng[:m] // mo.total
         low[:m] += r * np.where(event == 0, 0, np.where(event == 1, mo.f0, mo.f0 + mo.f1)).astype(np.uint64)
         rng[:m] = r * np.where(event == 0, mo.f0, np.where(event == 1, mo.f1, mo.f2))
-        shift_out(every[:m])
+        shift_out(np.flatnonzero(rng[:m] < LOW))
         new = np.flatnonzero(event == 2)
         if new.size:
             high = (x[new] >> np.uint32(shift)).astype(np.int64)
@@ -138,7 +137,7 @@ def encode_blocks(ids: list[np.ndarray], shift: int) -> list[np.ndarray]:
             r = rng[new] >> wide
             low[new] += r * ((start << sh) + (x[new] & mask).astype(np.uint64) * (end - start))
             rng[new] = r * (end - start)
-            shift_out(new)
+            shift_out(new[rng[new] < LOW])
             mo.count(new, high)
         mo.learn(x, event)
         p1, p2 = x, p1
@@ -165,14 +164,13 @@ def decode_blocks(digits: list[np.ndarray], lens: np.ndarray, shift: int) -> lis
         code = (code << np.uint64(16)) | src[:, k]
     sh, wide = np.uint64(shift), np.uint64(12 + shift)
 
-    def shift_in(lanes: np.ndarray) -> None:
-        small = lanes[rng[lanes] < LOW]
+    def shift_in(small: np.ndarray) -> None:
         while small.size:
             code[small] = (code[small] << np.uint64(16)) | src[small, np.minimum(pos[small], width - 1)]
             pos[small] += 1
             rng[small] <<= np.uint64(16)
             small = small[rng[small] < LOW]
-    every, inverse = np.arange(n), mo.inverse()
+    inverse = mo.inverse()
     p1 = p2 = np.zeros(n, np.uint32)
     for t in range(steps):
         m = int(np.searchsorted(-lens, -t, "left")) if lens[-1] <= t else n
@@ -188,7 +186,7 @@ def decode_blocks(digits: list[np.ndarray], lens: np.ndarray, shift: int) -> lis
         event = (v >= mo.f0).astype(np.int64) + (v >= f01)
         code[:m] -= r * np.where(event == 0, 0, np.where(event == 1, mo.f0, f01)).astype(np.uint64)
         rng[:m] = r * np.where(event == 0, mo.f0, np.where(event == 1, mo.f1, mo.f2))
-        shift_in(every[:m])
+        shift_in(np.flatnonzero(rng[:m] < LOW))
         x = np.where(event == 0, mo.c2, mo.c1)
         new = np.flatnonzero(event == 2)
         if new.size:
@@ -199,7 +197,7 @@ def decode_blocks(digits: list[np.ndarray], lens: np.ndarray, shift: int) -> lis
             rest = (v - (start << sh)) // (end - start)
             code[new] -= r * ((start << sh) + rest * (end - start))
             rng[new] = r * (end - start)
-            shift_in(new)
+            shift_in(new[rng[new] < LOW])
             x[new] = (high << shift).astype(np.uint32) | rest.astype(np.uint32)
             mo.count(new, high)
         mo.learn(x, event)
