@@ -60,7 +60,7 @@ def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd):
     # one right row per (key, time): ties resolve to the largest payload in
     # both directions, so collapsing them first is exact and shrinks hot keys
     # map-side (partial aggregation) before any sort.
-    R = (right.where(F.col(right_on).isNotNull())
+    R = (right.dropna("any", subset=[right_on, *keys])         # NULL keys and times match nothing
          .select(*kcols, F.col(right_on).alias("__t"), F.struct(*rpay).alias("__R"))
          .groupBy(*knames, "__t").agg(F.max("__R").alias("__R"))
          .withColumn("__b", bucket(F.col("__t"))))
@@ -84,13 +84,13 @@ def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd):
         w = (Window.partitionBy(*knames, "__b")
              .orderBy(F.col("__phase"), F.col("__t"), tie)
              .rowsBetween(Window.unboundedPreceding, 0))
-        out = out.withColumn("__B", F.last("__R", ignorenulls=True).over(w))
+        out = out.withColumn("__B", F.when(F.col("__t").isNotNull(), F.last("__R", ignorenulls=True).over(w)))
     if fwd:
         tie = is_right.asc() if not strict else is_right.desc()
         w = (Window.partitionBy(*knames, "__b")
              .orderBy(F.col("__phase"), F.col("__t"), tie)
              .rowsBetween(0, Window.unboundedFollowing))
-        out = out.withColumn("__F", F.first("__R", ignorenulls=True).over(w))
+        out = out.withColumn("__F", F.when(F.col("__t").isNotNull(), F.first("__R", ignorenulls=True).over(w)))
     return out.where(F.col("__L").isNotNull())
 
 
@@ -110,9 +110,15 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     rpay = [c for c in right.columns if c not in by]
     back = direction in ("backward", "nearest")
     fwd = direction in ("forward", "nearest")
-    core = _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd)
+    if back and fwd:        # the later match is sought for the rows that carry their earlier match
+        core = _asof_core(left, right, left_on, right_on, by, strict, bucket, True, False)
+        rows = core.select("__L.*", F.col("__B").alias("__prev"))
+        core = (_asof_core(rows, right, left_on, right_on, by, strict, bucket, False, True)
+                .withColumn("__B", F.col("__L.__prev")).withColumn("__L", F.col("__L").dropFields("__prev")))
+    else:
+        core = _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd)
     lt = F.col("__t")
-    B, Fw = F.col("__B"), F.col("__F")
+    B, Fw = (F.col(c) if want else F.lit(None) for c, want in (("__B", back), ("__F", fwd)))
     if direction == "backward":
         m, use_back = B, F.lit(True)
     elif direction == "forward":

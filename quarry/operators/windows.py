@@ -12,6 +12,7 @@
 """
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -73,11 +74,14 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], time_col
     base = df.withColumn("__b", bucket(F.col(time_col)))
     tot = base.groupBy(*by, "__b").agg(F.sum(value).alias("__bt"))
     wc = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tot.withColumn("__carry", F.coalesce(F.sum("__bt").over(wc), F.lit(0))).drop("__bt")
-    w = Window.partitionBy(*by, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (base.join(carry, [*by, "__b"])
-            .withColumn(alias, F.col("__carry") + F.sum(value).over(w))
-            .drop("__carry", "__b"))
+    keys = [*by, "__b"]
+    carry = tot.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.sum("__bt").over(wc).alias("__carry"))
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    own = F.sum(value).over(w)
+    # NULL only while nothing was summed, as with the plain window
+    return (base.join(carry, same).withColumn(alias, F.coalesce(F.col("__carry") + own, F.col("__carry"), own))
+            .drop("__carry", "__b", *[f"__k{i}" for i in range(len(keys))]))
 
 
 # --------------------------------------------------------------------------

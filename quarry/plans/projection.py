@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.session import spread
 from quarry.functions import columns as C
 
 S = "2.2"
@@ -78,16 +77,15 @@ select doc_id from documents where contains(lower(strip_accents(text)), 'elle')
 """)
 def filter_like_ci_ai(t):
     """Case- and accent-insensitive substring match through a collation."""
-    return spread(t.documents.select("doc_id", "text")).where(F.contains(F.collate("text", "UNICODE_CI_AI"), F.lit("elle"))).select("doc_id")
+    return t.documents.select("doc_id", "text").where(F.contains(F.collate("text", "UNICODE_CI_AI"), F.lit("elle"))).select("doc_id")
 
 
 @query("filter_null", section=S, sql="""
-select c.c_custkey from customer c left join (select * from orders where o_orderdate < timestamp '1995-02-01') o
+select c.c_custkey from customer c left join orders o
   on o.o_custkey = c.c_custkey where o.o_orderkey is null
 """)
 def filter_null(t):
-    jan = t.orders.where(F.col("o_orderdate") < F.lit("1995-02-01").cast("timestamp_ntz"))
-    j = t.customer.join(jan, F.col("o_custkey") == F.col("c_custkey"), "left")
+    j = t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left")
     return j.where(F.col("o_orderkey").isNull()).select("c_custkey")
 
 
@@ -220,11 +218,10 @@ def rename_drop(t):
 
 @query("null_replace", section=S, sql="""
 select c.c_custkey, coalesce(o.o_orderstatus, 'none') as status, coalesce(o.o_totalprice, 0e0) as amount
-from customer c left join (select * from orders where o_orderdate < timestamp '1995-02-01') o on o.o_custkey = c.c_custkey
+from customer c left join orders o on o.o_custkey = c.c_custkey
 """)
 def null_replace(t):
-    jan = t.orders.where(F.col("o_orderdate") < F.lit("1995-02-01").cast("timestamp_ntz"))
-    j = t.customer.join(jan, F.col("o_custkey") == F.col("c_custkey"), "left")
+    j = t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left")
     return j.select("c_custkey", "o_orderstatus", "o_totalprice").fillna(
         {"o_orderstatus": "none", "o_totalprice": 0.0}).withColumnsRenamed(
         {"o_orderstatus": "status", "o_totalprice": "amount"})
@@ -232,12 +229,11 @@ def null_replace(t):
 
 @query("null_drop", section=S, sql="""
 select c.c_custkey, o.o_orderkey
-from customer c left join (select * from orders where o_orderdate < timestamp '1995-02-01') o on o.o_custkey = c.c_custkey
+from customer c left join orders o on o.o_custkey = c.c_custkey
 where o.o_orderkey is not null
 """)
 def null_drop(t):
-    jan = t.orders.where(F.col("o_orderdate") < F.lit("1995-02-01").cast("timestamp_ntz"))
-    j = t.customer.join(jan, F.col("o_custkey") == F.col("c_custkey"), "left")
+    j = t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left")
     return j.select("c_custkey", "o_orderkey").dropna(subset=["o_orderkey"])
 
 

@@ -35,8 +35,12 @@ def pivot_global(t):
 
 
 @query("pivot_dynamic", section=S, sql="""
-pivot (select cast(year(o_orderdate) as integer) as yr, o_orderpriority from orders)
-on o_orderpriority using count(*) group by yr
+select cast(year(o_orderdate) as integer) as yr,
+       count(*) filter (where o_orderpriority = '1-URGENT') as "1-URGENT", count(*) filter (where o_orderpriority = '2-HIGH') as "2-HIGH",
+       count(*) filter (where o_orderpriority = '3-MEDIUM') as "3-MEDIUM",
+       count(*) filter (where o_orderpriority = '4-NOT SPECIFIED') as "4-NOT SPECIFIED",
+       count(*) filter (where o_orderpriority = '5-LOW') as "5-LOW"
+from orders group by yr
 """)
 def pivot_dynamic(t):
     """Columns from the data: Spark first runs a distinct-values job (capped by

@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.catalog import query
-from quarry.session import spread
 from quarry.functions import columns as C
 
 S = "2.8"
@@ -32,7 +31,7 @@ select doc_id, case when trim(text) = '' then 0 else len(regexp_split_to_array(t
 from documents
 """)
 def str_split_count(t):
-    return spread(t.documents.select("doc_id", "text")).select("doc_id", C.word_count(F.col("text")).alias("n_words"))
+    return t.documents.select("doc_id", "text").select("doc_id", C.word_count(F.col("text")).alias("n_words"))
 
 
 @query("str_join", section=S, sql="select c_custkey, concat_ws('-', c_name, c_mktsegment) as label from customer")
@@ -67,7 +66,7 @@ def regex_extract(t):
 select doc_id, unnest(regexp_extract_all(text, '{EMAIL}')) as email from documents
 """)
 def regex_findall(t):
-    return spread(t.documents.select("doc_id", "text")).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(EMAIL), 0)).alias("email"))
+    return t.documents.select("doc_id", "text").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(EMAIL), 0)).alias("email"))
 
 
 @query("str_char_counts", section=S, sql="""
@@ -157,33 +156,33 @@ def math_ops(t):
 
 
 @query("arr_map_filter", section=S, sql="""
-select vec_id, list_transform(embedding, lambda x: x * 2) as doubled, len(list_filter(embedding, lambda x: x > 0)) as n_pos
+select vec_id, list_transform(embedding, lambda x: x::double * 2) as doubled, len(list_filter(embedding, lambda x: x > 0)) as n_pos
 from embeddings
 """)
 def arr_map_filter(t):
     e = F.col("embedding")
-    return t.embeddings.select("vec_id", F.transform(e, lambda x: x * 2).alias("doubled"),
+    return t.embeddings.select("vec_id", F.transform(e, lambda x: x.cast("double") * 2).alias("doubled"),
                                F.size(F.filter(e, lambda x: x > 0)).alias("n_pos"))
 
 
 @query("arr_accumulate", section=S, sql="""
-select vec_id, list_transform(range(1, 9), lambda i: round(list_sum(list_transform(embedding[1:i], lambda x: x::double)), 4)) as prefix
+select vec_id, list_transform(range(1, len(embedding) + 1), lambda i: round(list_sum(list_transform(embedding[1:i], lambda x: x::double)), 4)) as prefix
 from embeddings
 """)
 def arr_accumulate(t):
-    """itertools.accumulate over the first 8 entries: prefix sums built by
-    ``aggregate`` inside the row."""
-    head = F.slice("embedding", 1, 8)
-    acc = F.aggregate(head, F.array().cast("array<double>"),
+    """Prefix sums over the whole vector, built by ``aggregate`` inside the row."""
+    acc = F.aggregate("embedding", F.array().cast("array<double>"),
                       lambda a, x: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0.0)) + x.cast("double"))))
     return t.embeddings.select("vec_id", F.transform(acc, lambda v: F.round(v, 4)).alias("prefix"))
 
 
 @query("arr_flatten", section=S, sql="""
-select vec_id, flatten([embedding[1:2], embedding[63:64]]) as ends from embeddings
+select vec_id, flatten(list_transform(range(0, 8), lambda i: embedding[i * 8 + 1:i * 8 + 8])) as flat from embeddings
 """)
 def arr_flatten(t):
-    return t.embeddings.select("vec_id", F.flatten(F.array(F.slice("embedding", 1, 2), F.slice("embedding", 63, 2))).alias("ends"))
+    """The vector as an 8x8 grid of rows, and the rows end to end again."""
+    grid = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("embedding", i * 8 + 1, 8))
+    return t.embeddings.select("vec_id", F.flatten(grid).alias("flat"))
 
 
 @query("arr_slice_index", section=S, sql="""

@@ -114,9 +114,9 @@ def win_pct_rank_avg(t):
     """pandas rank(pct=True): average rank of the tie group / n (H5)."""
     s = _sums(t)
     r = global_rank(s, [("total", True)], "rank", "rk")
-    ties = s.groupBy("total").agg(F.count(F.lit(1)).alias("ties"))
+    ties = s.groupBy(F.col("total").alias("k")).agg(F.count(F.lit(1)).alias("ties"))
     n = s.agg(F.count(F.lit(1))).scalar()
-    return r.join(ties, "total").select("o_custkey", "total",
+    return r.join(ties, F.col("total").eqNullSafe(F.col("k"))).select("o_custkey", "total",
                                         ((F.col("rk") + (F.col("ties") - 1) / 2.0) / n).alias("pct_avg"))
 
 
@@ -265,6 +265,6 @@ select l_orderkey, l_linenumber, l_partkey,
 def win_group_share(t):
     """groupby.transform('sum'): per-group total joined back (partial
     aggregate + join, skew-splittable by AQE)."""
-    tot = t.lineitem.groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("tot"))
-    return t.lineitem.join(tot, "l_orderkey").select(
+    tot = t.lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_extendedprice").alias("tot"))
+    return t.lineitem.join(tot, F.col("l_orderkey").eqNullSafe(F.col("k"))).select(
         "l_orderkey", "l_linenumber", "l_partkey", F.round(F.col("l_extendedprice") / F.col("tot"), 8).alias("share"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -19,16 +20,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     On a cluster the deployment supplies master, memory and
     ``spark.checkpoint.dir``; this builder only sets what is unset.
     """
-    b = (SparkSession.builder.appName(app)
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g")))
+    given = SparkConf()          # what the deployment sets (spark-submit, defaults file) is in here
+    b = SparkSession.builder.appName(app)
+    for k, v in {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions), "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "16g"),
+    }.items():
+        if not given.contains(k):
+            b = b.config(k, v)
     if master:
         b = b.master(master)
     spark = b.getOrCreate()
@@ -41,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used.  Only when nothing is configured (local tests) a fresh
-    scratch folder is created.
+    always used.  When nothing is configured a local master gets a fresh
+    scratch folder; any other master is an error, because executors would
+    not see each other's files.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
@@ -51,27 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster before heavy per-row work.
-
-    A file written as one large row group is read by one task; when the
-    scan has fewer partitions than the default parallelism, a round-robin
-    repartition lets the text work run on every core.  Scans that are
-    already split (the normal case for large inputs) are left alone, so no
-    shuffle is added at scale.
-    """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
-
-
 class Tables:
     """Lazy access to the base parquet tables and the derived views.
 
