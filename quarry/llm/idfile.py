@@ -35,40 +35,55 @@ MAGIC = b"QTB2"
 BLOCK, LANES = 4096, 1536            # tokens in a block; blocks coded side by side
 SLOTS = 10                           # bits of a context's place in a block's tables
 REFRESH, FADE = 512, 64              # steps between new order-0 frequencies; between looks at large counts
+U, FIELD = np.uint64, 20              # bits of a count
+NONE, ONE, MASK = U(0), U(1), U((1 << FIELD) - 1)
+MORE = np.array([24 << k * FIELD for k in range(3)], np.uint64)
 LOW, TOP = np.uint64(1 << 32), np.uint64((1 << 48) - 1)
 HEAD, ENTRY = struct.Struct("<4sIBIIQQ"), np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("begins", "u1"), ("tokens", "<u4")])
 BLOCKS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("block_no", T.LongType()),
                        T.StructField("tokens", T.LongType()), T.StructField("block", T.BinaryType())])
 
 
+def fields(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The three counts of the first step that stand side by side in a number; sums of two still fit."""
+    return seen & MASK, (seen >> U(FIELD)) & MASK, seen >> U(2 * FIELD)
+
+
 class Models:
     """The models of ``n`` blocks before their first id."""
 
     def __init__(self, n: int, shift: int):
         self.n, self.shift = n, shift
         self.order = [np.zeros(n << SLOTS, np.uint32) for _ in range(2)]     # order-1, order-2: id * 4 + confidence
-        self.seen = [np.tile(np.array([8, 8, 16], np.uint32), (n * 8, 1)) for _ in range(2)]
-        self.counts = np.ones((n, 256), np.int64)
+        self.seen = [np.full(n * 8, 8 | 8 << FIELD | 16 << 2 * FIELD, np.uint64) for _ in range(2)]
+        self.counts = np.ones(n * 256, np.int32)
+        self.lane256 = np.arange(n) * 256
         self.lane8, self.lane_slots = np.arange(n) * 8, np.arange(n) << SLOTS
         self.refresh()
 
     def refresh(self) -> None:
         """Order-0 frequencies of the high parts, 4096 in all, from the counts."""
-        share = 1 + self.counts * 3840 // self.counts.sum(axis=1, keepdims=True)
+        counts = self.counts.reshape(self.n, 256).astype(np.int64)
+        share = 1 + counts * 3840 // counts.sum(axis=1, keepdims=True)
         share[np.arange(self.n), share.argmax(axis=1)] += 4096 - share.sum(axis=1)
-        self.cum = np.zeros((self.n, 257), np.uint64)
-        self.cum[:, 1:] = np.cumsum(share, axis=1)
-        self.flat = self.cum.ravel()
+        self.share = share.ravel()
+        start = np.cumsum(share, axis=1).ravel() - self.share
+        self.place = ((start << 16) | self.share).astype(np.uint32)
         self.counts = (self.counts + 1) >> 1
 
     def inverse(self) -> np.ndarray:
         """For each block and frequency place the high part there."""
-        return np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.n), np.diff(self.cum, axis=1).astype(np.int64).ravel())
+        return np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.n), self.share)
+
+    def places(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the frequencies of high parts start, and how wide they are."""
+        both = self.place[cells]
+        return (both >> np.uint32(16)).astype(np.uint64), (both & np.uint32(0xFFFF)).astype(np.uint64)
 
     def fade(self) -> None:
         for s in self.seen:
-            big = np.flatnonzero(s.sum(axis=1) > 1024)
-            s[big] = (s[big] + 1) >> 1
+            big = np.flatnonzero(sum(fields(s)) > 1024)
+            s[big] = sum((x + ONE >> ONE) << U(k * FIELD) for k, x in enumerate(fields(s[big])))
 
     def predict(self, m: int, p1: np.ndarray, p2: np.ndarray) -> None:
         """Predictions, and cumulative counts of the first step, for the first ``m`` blocks."""
@@ -79,21 +94,22 @@ class Models:
         self.entry, self.c1, self.c2 = (e1, e2), e1 >> 2, e2 >> 2
         same = self.c1 == self.c2
         self.ctx = [self.lane8[:m] + (e & 3) * 2 + same for e in (e1, e2)]
-        f = self.seen[0][self.ctx[0]] + self.seen[1][self.ctx[1]]
-        self.f0 = f[:, 0].astype(np.uint64)
-        self.f1 = np.where(same, 0, f[:, 1]).astype(np.uint64)
-        self.f2 = f[:, 2].astype(np.uint64)
-        self.total = self.f0 + self.f1 + self.f2
+        self.f0, self.f1, self.f2 = fields(self.seen[0][self.ctx[0]] + self.seen[1][self.ctx[1]])
+        self.f1[same] = 0
+        self.f01 = self.f0 + self.f1
+        self.total = self.f01 + self.f2
 
     def learn(self, ids: np.ndarray, event: np.ndarray) -> None:
+        more = MORE[event]
         for s, c in zip(self.seen, self.ctx):
-            s[c, event] += 24
+            s[c] += more
+        first = ids << 2
         for o, a, e, c in zip(self.order, self.at, self.entry, (self.c1, self.c2)):
             sure = e & 3
-            o[a] = np.where(c == ids, e + (sure < 3), np.where(sure > 0, e - 1, ids << 2))
+            o[a] = np.where(c == ids, e + (sure < 3), np.where(sure > 0, e - 1, first))
 
-    def count(self, lanes: np.ndarray, high: np.ndarray) -> None:
-        self.counts[lanes, high] += 32
+    def count(self, cells: np.ndarray) -> None:
+        self.counts[cells] += 32
 
 
 def encode_blocks(ids: list[np.ndarray], shift: int) -> list[np.ndarray]:
@@ -125,20 +141,23 @@ def encode_blocks(ids: list[np.ndarray], shift: int) -> list[np.ndarray]:
                 mo.refresh()
         x = grid[t, :m]
         mo.predict(m, p1[:m], p2[:m])
-        event = np.where(x == mo.c2, 0, np.where(x == mo.c1, 1, 2))
+        by2, by1 = x == mo.c2, x == mo.c1
+        event = np.where(by2, 0, np.where(by1, 1, 2))
         r = rng[:m] // mo.total
-        low[:m] += r * np.where(event == 0, 0, np.where(event == 1, mo.f0, mo.f0 + mo.f1)).astype(np.uint64)
-        rng[:m] = r * np.where(event == 0, mo.f0, np.where(event == 1, mo.f1, mo.f2))
+        low[:m] += r * np.where(by2, NONE, np.where(by1, mo.f0, mo.f01))
+        rng[:m] = r * np.where(by2, mo.f0, np.where(by1, mo.f1, mo.f2))
         shift_out(np.flatnonzero(rng[:m] < LOW))
         new = np.flatnonzero(event == 2)
         if new.size:
-            high = (x[new] >> np.uint32(shift)).astype(np.int64)
-            start, end = mo.flat[new * 257 + high], mo.flat[new * 257 + high + 1]
+            fresh = x[new]
+            cells = mo.lane256[new] + (fresh >> np.uint32(shift))
+            start, share = mo.places(cells)
             r = rng[new] >> wide
-            low[new] += r * ((start << sh) + (x[new] & mask).astype(np.uint64) * (end - start))
-            rng[new] = r * (end - start)
-            shift_out(new[rng[new] < LOW])
-            mo.count(new, high)
+            low[new] += r * ((start << sh) + (fresh & mask) * share)
+            r *= share
+            rng[new] = r
+            shift_out(new[r < LOW])
+            mo.count(cells)
         mo.learn(x, event)
         p1, p2 = x, p1
     for _ in range(3):
@@ -182,24 +201,27 @@ def decode_blocks(digits: list[np.ndarray], lens: np.ndarray, shift: int) -> lis
         mo.predict(m, p1[:m], p2[:m])
         r = rng[:m] // mo.total
         v = code[:m] // r
-        f01 = mo.f0 + mo.f1
-        event = (v >= mo.f0).astype(np.int64) + (v >= f01)
-        code[:m] -= r * np.where(event == 0, 0, np.where(event == 1, mo.f0, f01)).astype(np.uint64)
-        rng[:m] = r * np.where(event == 0, mo.f0, np.where(event == 1, mo.f1, mo.f2))
+        by2, fresh = v < mo.f0, v >= mo.f01
+        event = np.where(by2, 0, np.where(fresh, 2, 1))
+        code[:m] -= r * np.where(by2, NONE, np.where(fresh, mo.f01, mo.f0))
+        rng[:m] = r * np.where(by2, mo.f0, np.where(fresh, mo.f2, mo.f1))
         shift_in(np.flatnonzero(rng[:m] < LOW))
-        x = np.where(event == 0, mo.c2, mo.c1)
-        new = np.flatnonzero(event == 2)
+        x = np.where(by2, mo.c2, mo.c1)
+        new = np.flatnonzero(fresh)
         if new.size:
             r = rng[new] >> wide
             v = np.minimum(code[new] // r, np.uint64((4096 << shift) - 1))
             high = inverse[new * 4096 + (v >> sh).astype(np.int64)].astype(np.int64)
-            start, end = mo.flat[new * 257 + high], mo.flat[new * 257 + high + 1]
-            rest = (v - (start << sh)) // (end - start)
-            code[new] -= r * ((start << sh) + rest * (end - start))
-            rng[new] = r * (end - start)
-            shift_in(new[rng[new] < LOW])
+            cells = mo.lane256[new] + high
+            start, share = mo.places(cells)
+            start <<= sh
+            rest = (v - start) // share
+            code[new] -= r * (start + rest * share)
+            r *= share
+            rng[new] = r
+            shift_in(new[r < LOW])
             x[new] = (high << shift).astype(np.uint32) | rest.astype(np.uint32)
-            mo.count(new, high)
+            mo.count(cells)
         mo.learn(x, event)
         grid[t, :m] = x
         p1, p2 = x, p1
@@ -226,7 +248,7 @@ class Encoder:
     The byte-level pattern always cuts between a character that is no white space and a space, so a text without white
     space in front of a space is the chain of its words; any other text goes to the library as it is.
     """
-    MEMO = 250_000
+    MEMO = 400_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -262,35 +284,25 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian u32."""
         split = [None if not t or not self.by_word or self.odd(t) else t.split(" ") for t in texts]
-        need: dict[str, bytes] = {}
-        memo, older = self.memo, self.older
-        for ws in split:
-            if ws:
-                for w in ws[1:]:
-                    if w not in memo:
-                        need[w] = b""
-        missing = []
-        for w in need:
-            known = older.get(w)
-            if known is None:
-                missing.append(w)
-            else:
-                need[w] = known
-        for w, ids in self.fill([" " + w for w in missing]).items():
-            need[w[1:]] = ids
-        both = memo | need if len(need) > len(memo) else None
-        if both is None:
-            memo.update(need)
-            both = memo
-        out = []
+        words = [w for ws in split if ws for w in ws[1:]]
+        found = list(map(self.memo.get, words))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        need = {words[i] for i in gaps}
+        self.memo.update((w, self.older[w]) for w in need if w in self.older)
+        for w, ids in self.fill([" " + w for w in need if w not in self.memo]).items():
+            self.memo[w[1:]] = ids
+        for i in gaps:
+            found[i] = self.memo[words[i]]
+        out, at = [], 0
         for t, ws in zip(texts, split):
             if ws:
-                out.append(self.whole(ws[0]) + b"".join([both[w] for w in ws[1:]]))
+                end = at + len(ws) - 1
+                out.append(self.whole(ws[0]) + b"".join(found[at:end]))
+                at = end
             else:
                 out.append(self.whole(t) if t else b"")
-        self.memo = both
-        if len(both) > self.MEMO:
-            self.older, self.memo = both, {}
+        if len(self.memo) > self.MEMO:
+            self.older, self.memo = self.memo, {}
         return out
 
 
