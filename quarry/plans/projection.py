@@ -291,11 +291,11 @@ def label_multiclass(t):
 
 
 @query("odds_normalise", views=("odds",), section=S, sql="""
-with o as (select match_id, bookmaker, odds_id, home_win, draw, away_win,
-                  (1e0/home_win + 1e0/draw + 1e0/away_win) as inv_sum from odds)
-select match_id, bookmaker, odds_id, (1e0/home_win)/inv_sum as p_home, (1e0/draw)/inv_sum as p_draw,
-       (1e0/away_win)/inv_sum as p_away, inv_sum - 1e0 as margin
-from o
+with chances as (
+  select match_id, bookmaker, odds_id, 1e0 / home_win as h, 1e0 / draw as d, 1e0 / away_win as a from odds),
+summed as (select *, h + d + a as book from chances)
+select match_id, bookmaker, odds_id, h / book as p_home, d / book as p_draw, a / book as p_away, book - 1e0 as margin
+from summed
 """)
 def odds_normalise(t):
     """Implied probabilities normalised to 1; margin = inverse sum - 1 (H2)."""
