@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 
 _INT_TYPES = [("tinyint", -2**7, 2**7 - 1), ("smallint", -2**15, 2**15 - 1),
               ("int", -2**31, 2**31 - 1), ("bigint", -2**63, 2**63 - 1)]
+_FLOAT_MAX = 3.4028234663852886e38
 
 
-def downcast(df: DataFrame) -> DataFrame:
+def downcast(df: DataFrame, lossy: bool = False) -> DataFrame:
     """Cast every integral-valued numeric column to the narrowest integer type
     that holds its range.  One aggregate computes all minima and maxima
-    (a single row reaches the driver); the casts stay lazy."""
+    (a single row reaches the driver); the casts stay lazy.
+
+    Fractional doubles keep their type unless ``lossy`` is set: then those
+    whose range a float holds become floats and keep about 7 digits."""
     num = [f.name for f in df.schema.fields if f.dataType.typeName() in
            ("byte", "short", "integer", "long", "double", "float")]
     bounds = df.agg(*[F.min(c).alias(f"mn_{c}") for c in num], *[F.max(c).alias(f"mx_{c}") for c in num],
@@ -21,11 +25,11 @@ def downcast(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
         c = f.name
-        if c in num and bounds[f"int_{c}"] is not False and bounds[f"mn_{c}"] is not None:
-            lo, hi = bounds[f"mn_{c}"], bounds[f"mx_{c}"]
+        lo, hi = (bounds[f"mn_{c}"], bounds[f"mx_{c}"]) if c in num else (None, None)
+        if lo is not None and bounds[f"int_{c}"] is not False and -2**63 <= lo and hi < 2**63:
             target = next(n for n, a, b in _INT_TYPES if lo >= a and hi <= b)
             out.append(F.col(c).cast(target).alias(c))
-        elif f.dataType.typeName() == "double":
+        elif lossy and f.dataType.typeName() == "double" and lo is not None and max(-lo, hi) <= _FLOAT_MAX:
             out.append(F.col(c).cast("float").alias(c))
         else:
             out.append(F.col(c))

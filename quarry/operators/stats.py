@@ -1,6 +1,7 @@
 """Distributed statistics helpers (exact quantiles, Welch t)."""
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -8,43 +9,79 @@ from pyspark.sql import functions as F
 
 from quarry.operators.windows import global_row_number
 
+CUTS = 128      # value ranges a group is split into
+
 
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy's default, SQL
     ``percentile_cont``) without collecting a group's values in one task.
 
-    Values are numbered in order -- globally through ``global_row_number``
-    (range buckets), or per group with a window sort that can spill -- and
-    only the two neighbouring ranks of every requested position are kept.
-    Returns one row (per group) with one column per name in ``probs``.
+    Returns one row (per group) with one column per name in ``probs``.  NULL
+    values do not count; a NULL group is a group, and a group (or table)
+    without values has NULL quantiles.
     """
-    by = list(by)
-    v = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("__v"))
-    if by:
-        w = Window.partitionBy(*by).orderBy("__v")
-        ranked = v.withColumn("__rn", F.row_number().over(w))
-        counts = v.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-        ranked = ranked.join(counts, by)
-    else:
-        ranked = global_row_number(v, [("__v", True)], alias="__rn")
-        ranked = ranked.withColumn("__n", v.agg(F.count(F.lit(1))).scalar())
+    return _grouped(df, value, probs, list(by)) if by else _overall(df, value, probs)
+
+
+def _wanted(n: Column, p: float) -> tuple[Column, Column, Column]:
+    """Ranks of the two neighbours of a position, and its place between them."""
+    h = (n - 1) * F.lit(p)
+    low = F.floor(h) + 1
+    return low, F.least(low + 1, n), h - F.floor(h)
+
+
+def _overall(df: DataFrame, value: str, probs: dict[str, float]) -> DataFrame:
+    """Values are numbered through ``global_row_number`` (range buckets) and
+    only the two neighbouring ranks of every requested position are kept."""
+    v = df.where(F.col(value).isNotNull()).select(F.col(value).alias("__v"))
+    ranked = global_row_number(v, [("__v", True)], alias="__rn").withColumn("__n", v.agg(F.count(F.lit(1))).scalar())
+    rn, x, out = F.col("__rn"), F.col("__v"), []
     need = F.lit(False)
-    for p in probs.values():
-        h = (F.col("__n") - 1) * F.lit(p)
-        need = need | (F.col("__rn") == F.floor(h) + 1) | (F.col("__rn") == F.least(F.floor(h) + 2, F.col("__n")))
-    kept = ranked.where(need)
-    # frac is constant within a group, so first() is exact
-    out = []
     for name, p in probs.items():
-        h = (F.col("__n") - 1) * F.lit(p)
-        lo = F.floor(h) + 1
-        hi = F.least(lo + 1, F.col("__n"))
-        kept = kept.withColumn(f"__lo_{name}", F.when(F.col("__rn") == lo, F.col("__v"))) \
-                   .withColumn(f"__hi_{name}", F.when(F.col("__rn") == hi, F.col("__v"))) \
-                   .withColumn(f"__f_{name}", h - F.floor(h))
-        out.append((F.max(f"__lo_{name}") + F.max(f"__f_{name}") * (F.max(f"__hi_{name}") - F.max(f"__lo_{name}")))
-                   .alias(name))
-    return kept.groupBy(*by).agg(*out)
+        low, high, part = _wanted(F.col("__n"), p)
+        need = need | (rn == low) | (rn == high)
+        lo, hi = F.max(F.when(rn == low, x)), F.max(F.when(rn == high, x))
+        out.append((lo + F.max(part) * (hi - lo)).alias(name))
+    return ranked.where(need).agg(*out)
+
+
+def _grouped(df: DataFrame, value: str, probs: dict[str, float], by: list[str]) -> DataFrame:
+    """Equal values become one row with a count, each group is cut into value
+    ranges at approximate quantiles, the ranges are counted, and only those
+    that hold a wanted rank are sorted -- so neither a hot group nor a hot
+    value is one task's work."""
+    keys = [f"__k{i}" for i in range(len(by))]
+    v = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(value).alias("__v"))
+    groups = v.groupBy(*keys).agg(
+        F.count("__v").alias("__n"), F.percentile_approx("__v", [i / CUTS for i in range(1, CUTS)], 10000).alias("__cuts"))
+    x = F.col("__v")
+
+    def joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+        other = right.withColumnsRenamed({c: f"{c}_r" for c in on})
+        same = reduce(lambda p, q: p & q, [F.col(c).eqNullSafe(F.col(f"{c}_r")) for c in on])
+        return left.join(other, same, how).drop(*[f"{c}_r" for c in on])
+    counted = joined(v.where(x.isNotNull()).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")), groups, keys)
+    ranged = counted.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < x))).drop("__cuts")
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)   # CUTS rows a group
+    spans = ranged.groupBy(*keys, "__n", "__b").agg(F.sum("__c").alias("__m")) \
+        .withColumn("__off", F.coalesce(F.sum("__m").over(before), F.lit(0)))
+    hit = F.lit(False)
+    for p in probs.values():
+        low, high, _ = _wanted(F.col("__n"), p)
+        hit = hit | ((high > F.col("__off")) & (low <= F.col("__off") + F.col("__m")))
+    kept = joined(ranged, spans.where(hit).select(*keys, "__b", "__off"), [*keys, "__b"])
+    upto = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = kept.withColumn("__end", F.col("__off") + F.sum("__c").over(upto))
+    found, out = [], []
+    for i, (name, p) in enumerate(probs.items()):
+        low, high, part = _wanted(F.col("__n"), p)
+        for side, rank in (("lo", low), ("hi", high)):
+            inside = (rank <= F.col("__end")) & (rank > F.col("__end") - F.col("__c"))
+            found.append(F.max(F.when(inside, x)).alias(f"__{side}{i}"))
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        out.append((lo + part * (hi - lo)).alias(name))
+    ends = placed.groupBy(*keys).agg(*found)
+    return joined(groups, ends, keys, "left").select(*[F.col(k).alias(c) for c, k in zip(by, keys)], *out)
 
 
 def welch(mean_a: Column, var_a: Column, n_a: Column, mean_b: Column, var_b: Column, n_b: Column):

@@ -25,8 +25,8 @@ from matches m join teams th on th.team_id = m.home_team_id join teams ta on ta.
 """)
 def join_dim_twice(t):
     """Same 25-row dimension in two roles (broadcast: fixed bound)."""
-    th = F.broadcast(t.teams.select(F.col("team_id").alias("home_team_id"), F.col("team_name").alias("home")))
-    ta = F.broadcast(t.teams.select(F.col("team_id").alias("away_team_id"), F.col("team_name").alias("away")))
+    th = t.teams.select(F.col("team_id").alias("home_team_id"), F.col("team_name").alias("home"))
+    ta = t.teams.select(F.col("team_id").alias("away_team_id"), F.col("team_name").alias("away"))
     return t.matches.join(th, "home_team_id").join(ta, "away_team_id").select("match_id", "home", "away")
 
 

@@ -68,29 +68,50 @@ def plot_facet_counts(t):
             .groupBy("o_orderpriority", "o_orderstatus", "bin").agg(F.count(F.lit(1)).alias("n")))
 
 
-@query("plot_kde", section=S)
-def plot_kde(t, grid: int = 50, fine_bins: int = 512):
-    """Binned Gaussian KDE (Scott bandwidth) on a 50-point grid.
-
-    Values are first counted in 512 fine bins (partial aggregation); each
-    non-empty bin then sends its weighted kernel to the grid points through
-    a generator, and a group-by sums the contributions.  Work is
-    O(rows + bins x grid), with no data x grid product."""
-    x = F.col("o_totalprice")
-    st = t.orders.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"),
-                      F.count(x).alias("n"))
-    lo, hi = st.select("lo").scalar(), st.select("hi").scalar()
-    sd, n = st.select("sd").scalar(), st.select("n").scalar()
-    h = sd * F.pow(n, -0.2)
-    width = (hi - lo) / fine_bins
-    binned = (t.orders.select(F.least(F.floor((x - lo) / width), F.lit(fine_bins - 1)).alias("b"))
-              .groupBy("b").agg(F.count(F.lit(1)).alias("c")))
-    centre = lo + (F.col("b") + 0.5) * width
-    g = binned.select("c", centre.alias("xc"), F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
-    gx = lo + F.col("i") * (hi - lo) / (grid - 1)
-    z = (gx - F.col("xc")) / h
-    return (g.groupBy("i").agg(F.first(gx).alias("x"),
-                               (F.sum(F.col("c") * F.exp(-0.5 * z * z)) / (n * h * math.sqrt(2 * math.pi))).alias("density")))
+GRID = 50
+
+
+def _density_sql(by: str) -> str:
+    group = f"{by}, " if by else ""
+    return f"""
+with s as (select {group}min(o_totalprice) as lo, max(o_totalprice) as hi, stddev_samp(o_totalprice) as sd, count(*) as n
+           from orders{f" group by {by}" if by else ""}),
+g as (select {group}i::integer as i, lo + i * (hi - lo) / {GRID - 1} as x, sd * pow(n, -0.2) as h, n from s, range({GRID}) r(i))
+select {group}i, round(x, 4) as x, round(sum(exp(-0.5 * ((x - o_totalprice) / h) ^ 2)) / (n * h * sqrt(2 * pi())), 12) as density
+from g join orders {f"using ({by})" if by else "on true"} group by {group}i, x, h, n
+"""
+
+
+def _density(rows, by):
+    """Gaussian kernels (Scott's bandwidth) on a grid: one sum a grid point in one aggregate over all rows."""
+    h = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))
+
+    def point(i):
+        return F.col("lo") + i * (F.col("hi") - F.col("lo")) / (GRID - 1)
+    z = [(point(F.lit(i)) - F.col("o_totalprice")) / h for i in range(GRID)]
+    sums = rows.groupBy(*by, "lo", "hi", "sd", "n").agg(*[F.sum(F.exp(-0.5 * d * d)).alias(f"k{i}") for i, d in enumerate(z)])
+    long = sums.select(*by, "lo", "hi", "sd", "n", F.posexplode(F.array(*[f"k{i}" for i in range(GRID)])).alias("i", "k"))
+    return long.select(*by, "i", F.round(point(F.col("i")), 4).alias("x"),
+                       F.round(F.col("k") / (F.col("n") * h * math.sqrt(2 * math.pi)), 12).alias("density"))
+
+
+def _spread(x):
+    return [F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"), F.count(x).alias("n")]
+
+
+@query("plot_kde", section=S, sql=_density_sql(""))
+def plot_kde(t):
+    """Exact Gaussian density of order totals at 50 points."""
+    stats = t.orders.agg(*_spread(F.col("o_totalprice")))
+    rows = t.orders.select("o_totalprice", *[stats.select(c).scalar().alias(c) for c in ("lo", "hi", "sd", "n")])
+    return _density(rows, [])
+
+
+@query("plot_violin", section=S, sql=_density_sql("o_orderpriority"))
+def plot_violin(t):
+    """The same density for each priority; the quartiles inside it are those of plot_box_stats."""
+    stats = t.orders.groupBy("o_orderpriority").agg(*_spread(F.col("o_totalprice")))
+    return _density(t.orders.select("o_orderpriority", "o_totalprice").join(stats, "o_orderpriority"), ["o_orderpriority"])
 
 
 @query("plot_box_stats", section=S, sql="""
@@ -105,7 +126,7 @@ from q join orders o on o.o_orderpriority = q.o_orderpriority group by all
 def plot_box_stats(t):
     from quarry.operators.stats import quantiles
     q = quantiles(t.orders, "o_totalprice", {"q1": 0.25, "med": 0.5, "q3": 0.75}, by=["o_orderpriority"])
-    j = t.orders.select("o_orderpriority", "o_totalprice").join(F.broadcast(q), "o_orderpriority")
+    j = t.orders.select("o_orderpriority", "o_totalprice").join(q, "o_orderpriority")
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     x = F.col("o_totalprice")
@@ -115,12 +136,25 @@ def plot_box_stats(t):
         "o_orderpriority", *[F.round(c, 4).alias(c) for c in ("q1", "med", "q3")], "whisker_lo", "whisker_hi", "n_outliers")
 
 
-@query("plot_scatter_sample", section=S)
+@query("plot_scatter_grid", section=S, sql="""
+select l_quantity, floor(l_extendedprice / 1000)::bigint as price_bin, count(*) as n from lineitem group by all
+""")
+def plot_scatter_grid(t):
+    """All (quantity, price) points as counts on a grid: complete, and as small as the grid."""
+    return t.lineitem.groupBy("l_quantity", F.floor(F.col("l_extendedprice") / 1000).alias("price_bin")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("plot_scatter_sample", section=S, sql="""
+select l_quantity, l_extendedprice from lineitem
+where ('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8))::bigint % 100 < 5
+""")
 def plot_scatter_sample(t, percent: int = 5):
-    """A reproducible ~5 % sample of (quantity, price) points for a scatter
-    plot: the sample is the feature; membership is a hash of the row key."""
-    key = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return t.lineitem.where(F.pmod(key, F.lit(100)) < percent).select("l_quantity", "l_extendedprice")
+    """A reproducible ~5 % sample of the points: the sample is the feature, the row key's md5 decides;
+    plot_scatter_grid has all points."""
+    key = F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").cast("binary"))
+    return t.lineitem.where(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") % 100 < percent) \
+        .select("l_quantity", "l_extendedprice")
 
 
 @query("plot_regression", section=S, sql="""
@@ -146,3 +180,31 @@ def plot_corr_heatmap(t):
     wide = c.agg(*[F.corr("c_acctbal", (F.col("c_mktsegment") == v).cast("double")).alias(v) for v in SEGMENTS])
     longf = wide.unpivot([], SEGMENTS, "col_b", "c")
     return longf.select(F.lit("c_acctbal").alias("col_a"), "col_b", F.round("c", 8).alias("corr"))
+
+
+@query("plot_corr_matrix", section=S, sql="""
+with wide as (
+  select c_acctbal, """ + ", ".join(f"(c_mktsegment = '{v}')::int::double as {v.lower()}" for v in SEGMENTS[1:]) + """ from customer)
+""" + "\nunion all\n".join(f"select '{a}' as col_a, '{b}' as col_b, round(corr({a}, {b}), 8) as corr from wide"
+                         for a in ["c_acctbal", *map(str.lower, SEGMENTS[1:])] for b in ["c_acctbal", *map(str.lower, SEGMENTS[1:])]))
+def plot_corr_matrix(t):
+    """Every pair of a numeric column and the dummies without the first level, in one aggregate."""
+    from quarry.operators.reshape import one_hot
+    wide = one_hot(t.customer.select("c_acctbal", "c_mktsegment"), "c_mktsegment", SEGMENTS, prefix="d")
+    cols = {"c_acctbal": "c_acctbal", **{v.lower(): f"d_{v}" for v in sorted(SEGMENTS)[1:]}}
+    pairs = [(a, b) for a in cols for b in cols]
+    one = wide.agg(*[F.corr(F.col(cols[a]).cast("double"), F.col(cols[b]).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
+    return one.unpivot([], [F.col(f"`{a}|{b}`") for a, b in pairs], "pair", "c").select(
+        F.split_part("pair", F.lit("|"), F.lit(1)).alias("col_a"), F.split_part("pair", F.lit("|"), F.lit(2)).alias("col_b"),
+        F.round("c", 8).alias("corr"))
+
+
+@query("plot_weekly_overlay", section=S, sql="""
+with d as (select cast(o_orderdate as date) as day, sum(o_totalprice) as s from orders group by 1)
+select day, round(s, 4) as sales, round(avg(s) over (partition by date_trunc('week', day)), 4) as week_mean from d
+""")
+def plot_weekly_overlay(t):
+    """Daily totals and the mean of the days of their week."""
+    d = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.sum("o_totalprice").alias("s"))
+    week = Window.partitionBy(F.date_trunc("week", "day"))
+    return d.select("day", F.round("s", 4).alias("sales"), F.round(F.avg("s").over(week), 4).alias("week_mean"))

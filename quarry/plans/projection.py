@@ -205,7 +205,7 @@ def downcast_numeric(t):
     """Narrowest integer type per column from one min/max aggregate over all
     columns; the bounds come back as one row and drive the casts."""
     from quarry.operators.reshape import downcast
-    return downcast(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
+    return downcast(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"), lossy=True)
 
 
 @query("rename_drop", section=S, sql="""
@@ -274,6 +274,25 @@ def positional_slice(t):
     return t.orders.orderBy("o_orderkey").limit(3).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+@query("positional_last", section=S, sql="""
+select o_orderkey, o_custkey, o_totalprice from orders order by o_orderkey desc limit 3
+""")
+def positional_last(t):
+    """The last three rows by an explicit order."""
+    return t.orders.orderBy(F.desc("o_orderkey")).limit(3).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("positional_list", section=S, sql="""
+select o_orderkey, o_custkey from (select *, row_number() over (order by o_orderkey) - 1 as place from orders)
+where place in (0, 2, 5, 700)
+""")
+def positional_list(t):
+    """Rows at listed positions of an explicit order, counted from 0."""
+    from quarry.operators.windows import global_row_number
+    numbered = global_row_number(t.orders.select("o_orderkey", "o_custkey"), [("o_orderkey", True)], "__place")
+    return numbered.where((F.col("__place") - 1).isin(0, 2, 5, 700)).drop("__place")
+
+
 @query("label_binary", views=("matches",), section=S, sql="""
 select match_id, case when home_score > away_score then 1 else 0 end as y_home_win from matches
 """)

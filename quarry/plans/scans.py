@@ -179,7 +179,10 @@ def sample_rows(t):
     return t.orders.sample(False, 0.7, seed=7)
 
 
-@query("sample_rows_hash", section=S)
+@query("sample_rows_hash", section=S, sql="""
+select * from orders where ('0x' || substr(md5(cast(o_orderkey as varchar)), 1, 8))::bigint % 10 < 7
+""")
 def sample_rows_hash(t):
-    """Reproducible 70 % sample independent of partitioning: hash of the key."""
-    return t.orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(10)) < 7)
+    """Reproducible 70 % sample independent of partitioning: md5 of the key."""
+    digest = F.md5(F.col("o_orderkey").cast("string").cast("binary"))
+    return t.orders.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10 < 7)

@@ -51,10 +51,9 @@ def stream_sliding_avg(t):
 
 @query("stream_dedup", section=S, sql="select distinct user_id, event_type from events")
 def stream_dedup(t):
-    """dropDuplicatesWithinWatermark on (user, type); one micro-batch holds the
-    whole file, so each key survives once."""
+    """One row a (user, type), kept as state over all batches."""
     out = src.scratch_dir(t.spark, "stream_dedup")
-    st.run_available(st.dedup(_events_stream(t), ["user_id", "event_type"], watermark="30 days"), out)
+    st.run_available(st.dedup(_events_stream(t), ["user_id", "event_type"]), out)
     return t.spark.read.parquet(out).select("user_id", "event_type")
 
 

@@ -43,8 +43,12 @@ def sliding_avg(stream: DataFrame, value: str = "value", time_col: str = "ts", l
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "avg_value", "n"))
 
 
-def dedup(stream: DataFrame, keys: Sequence[str], time_col: str = "ts", watermark: str = "1 hour") -> DataFrame:
-    """Drop repeated keys seen within the watermark delay."""
+def dedup(stream: DataFrame, keys: Sequence[str], time_col: str = "ts", watermark: str | None = None) -> DataFrame:
+    """Drop repeated keys: one row a key, whatever the batches (state: the distinct keys).
+
+    With a ``watermark`` keys are forgotten after that delay, and come out again if they return later."""
+    if watermark is None:
+        return stream.dropDuplicates(list(keys))
     return stream.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 

@@ -55,3 +55,41 @@ def test_only_a_local_master_gets_a_scratch_folder():
         conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
+
+
+def test_grouped_quantiles_with_nulls_and_a_hot_value(spark):
+    import duckdb
+    import numpy as np
+    from quarry.operators.stats import quantiles
+    rng = np.random.default_rng(4)
+    rows = [(int(k) if k else None, float(v)) for k, v in zip(rng.integers(0, 4, 900), rng.integers(0, 300, 900))]
+    rows += [(1, 42.0)] * 700 + [(9, None)] * 3 + [(8, 1.5)] + [(1, None), (None, None)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = {r.k: (r.a, r.b, r.c) for r in quantiles(df, "v", {"a": 0.1, "b": 0.5, "c": 0.99}, by=["k"]).collect()}
+    table = df.toArrow()                                                                    # noqa: F841
+    want = {k: x for k, *x in duckdb.sql("""
+        select k, quantile_cont(v, 0.1), quantile_cont(v, 0.5), quantile_cont(v, 0.99) from table group by k""".replace(
+        "table", '"table"')).fetchall()}
+    assert set(got) == set(want) == {None, 1, 2, 3, 8, 9}
+    for k, x in want.items():
+        assert got[k] == (None, None, None) if x[0] is None else np.allclose(got[k], x)
+
+
+def test_downcast_keeps_values(spark):
+    from quarry.operators.reshape import downcast
+    df = spark.createDataFrame([(1, 0.1, 1e300, 7.0, None), (200, 2.5, 0.5, 9.0, None)], "a long, b double, c double, d double, e double")
+    assert dict(downcast(df).dtypes) == {"a": "smallint", "b": "double", "c": "double", "d": "tinyint", "e": "double"}
+    small = downcast(df, lossy=True)
+    assert dict(small.dtypes) == {"a": "smallint", "b": "float", "c": "double", "d": "tinyint", "e": "double"}
+    assert [r.c for r in small.orderBy("a").collect()] == [1e300, 0.5]
+
+
+def test_stream_dedup_over_batches(spark):
+    from quarry import sources, streaming
+    folder, out = sources.scratch_dir(spark, "dedup_in"), sources.scratch_dir(spark, "dedup_out")
+    for day in (1, 15, 28):
+        spark.sql(f"select id % 5 as user_id, timestamp'2024-0{1 + day % 3}-{day:02d}' as ts from range(20)").coalesce(1) \
+            .write.mode("append").parquet(folder)
+    stream = streaming.event_stream(spark, folder, spark.read.parquet(folder).schema, max_files_per_trigger=1)
+    streaming.run_available(streaming.dedup(stream, ["user_id"]), out)
+    assert sorted(r.user_id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
