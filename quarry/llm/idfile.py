@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import slices
+from quarry.llm.common import slices, written
 
 MAGIC = b"QTB2"
 BLOCK, LANES = 4096, 1536            # tokens in a block; blocks coded side by side
@@ -427,7 +427,7 @@ def chained_crc(shares: pa.Array) -> list[int]:
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """A row for each document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
-    shares = read_fragments(spark, path)
+    shares = written(read_fragments(spark, path), "shares")       # blocks are decoded once, though read for both kinds
     single = shares.where("whole").select("part", "doc_id", "begin", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
     cut = (shares.where("not whole").groupBy("part", "doc_no")
            .agg(F.min("doc_id").alias("doc_id"), F.min("begin").alias("begin"), F.sum("n").alias("n_tokens"),
