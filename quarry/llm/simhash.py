@@ -130,6 +130,20 @@ def links_between(classes: DataFrame, most: int = 4) -> DataFrame:
     return near.select("a", "b").union(rest.select("a", "b"))
 
 
+def labelled(docs: DataFrame, doc_id: str, text: str, shingle: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """A row a document (doc_id, text_hash, fp), and the component's node of each fingerprint (fp, c)."""
+    key = "doc_id"
+    facts = written(with_fingerprints(docs.select(F.col(f"`{doc_id}`").alias(key), F.col(f"`{text}`").alias("t"),
+                                                  F.xxhash64(F.col(f"`{text}`")).alias("text_hash")), "t", [key, "text_hash"], shingle),
+                    "simhash")
+    # a class is named by its smallest id; one without any comes behind all others and is named by its fingerprint;
+    # the fingerprint is part of the node, so an id that repeats under unrelated texts joins nothing
+    classes = written(facts.groupBy("fp").agg(F.min(key).alias("first")).select(
+        "fp", F.struct(F.col("first").isNull().alias("unnamed"), F.coalesce("first", "fp").alias("id"), "fp").alias("node")), "simhash")
+    found = connected_components(links_between(classes, most)).withColumnRenamed("node", "member")
+    return facts, classes.join(found, classes.node == found.member, "left").select("fp", F.coalesce("component", "node").alias("c"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, most: int = 4
                     ) -> DataFrame:
     """One row a document: doc_id, fp (long), component_id, the smallest id that links lead to (its own included).
@@ -138,33 +152,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     equal fingerprints.  Null ids are kept, but never name a component that has another id.  An empty table gives no
     rows.  Links of equal fingerprints and of fingerprints ``most`` or fewer bits apart are complete.
     """
-    key = "doc_id"
-    facts = written(with_fingerprints(docs.select(F.col(f"`{doc_id}`").alias(key), F.col(f"`{text}`").alias("t")), "t", [key],
-                                      shingle), "simhash")
-    # a class is named by its smallest id; one without any comes behind all others and is named by its fingerprint
-    classes = written(facts.groupBy("fp").agg(F.min(key).alias("first")).select(
-        "fp", F.struct(F.col("first").isNull().alias("unnamed"), F.coalesce("first", "fp").alias("id")).alias("node")), "simhash")
-    found = connected_components(links_between(classes, most)).withColumnRenamed("node", "member")
-    labelled = classes.join(found, classes.node == found.member, "left").select(
-        "fp", F.coalesce("component", "node").alias("c"))
-    labelled = labelled.select("fp", F.when(~F.col("c.unnamed"), F.col("c.id")).alias("component_id"))
-    return facts.join(labelled, "fp").select(key, "fp", "component_id")
+    facts, labels = labelled(docs, doc_id, text, shingle, most)
+    labels = labels.select("fp", F.when(~F.col("c.unnamed"), F.col("c.id")).alias("component_id"))
+    return facts.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, most: int = 4) -> DataFrame:
-    """The documents whose id names their component, all columns; of repeated ids the smallest row stays.
+    """One document of each component, all columns: of the rows with its smallest id the one with the smallest text.
 
-    A row with a null id stays if no other id is in its component.
+    A row with a null id stays if no other id is in its component; of several such rows of a component one stays.
     """
-    rows = written(near_duplicates(docs, doc_id, text, shingle, most), "simhash")
-    kept = (rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")))
-    key, n = free_name(docs, "kept_id"), free_name(docs, "kept_n")
-    kept = kept.select(F.col("doc_id").alias(key), F.col("n").alias(n))
-    match = docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col(key)))
-    cols = [F.col(f"`{c}`") for c in docs.columns]
+    facts, labels = labelled(docs, doc_id, text, shingle, most)
+    name = F.when(~F.col("c.unnamed"), F.col("c.id"))
+    held = written(facts.join(labels, "fp").where(F.col("doc_id").eqNullSafe(name)).groupBy("c", "doc_id", "text_hash")
+                   .agg(F.count("*").alias("n")), "simhash")
+    total = held.groupBy("c").agg(F.sum("n").alias("rows"))
+    key, hashed, c, n = (free_name(docs, x) for x in ("kept_id", "kept_hash", "kept_c", "kept_n"))
+    kept = held.join(total, "c").select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed), F.col("c").alias(c),
+                                        F.col("rows").alias(n))
+    match = docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col(key)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(hashed)))
+    cols = [F.col(f"`{x}`") for x in docs.columns]
     single = match.where(F.col(n) == 1).select(*cols)
-    # only rows whose id occurs again are compared with each other, with map-side minima
-    again = (match.where(F.col(n) > 1).groupBy(F.col(key))
+    # only rows of a component that has several are compared with each other, with map-side minima
+    again = (match.where(F.col(n) > 1).groupBy(F.col(c))
              .agg(F.min(F.struct(F.col(f"`{text}`").alias("t"), F.struct(*cols).alias("row"))).alias("m"))
-             .select(*[F.col(f"m.row.`{c}`") for c in docs.columns]))
+             .select(*[F.col(f"m.row.`{x}`") for x in docs.columns]))
     return single.union(again)

@@ -412,6 +412,17 @@ def test_simhash_edge(edge, nothing):
     assert simhash.near_duplicates(nothing).count() == simhash.one_of_each(nothing).count() == 0
 
 
+def test_one_of_each_keeps_unrelated_documents(spark):
+    def prose(seed):
+        return " ".join(random.Random(seed).choices([f"w{i}" for i in range(5000)], k=60))
+    rows = [*[(None, prose(i)) for i in range(10)],                          # unrelated, no id
+            (None, prose(0)), (None, prose(20)), (20, prose(20)),            # a copy without id, one of a named document
+            (30, prose(31)), (31, prose(31)), (30, prose(32)), (32, prose(32)), (29, prose(32))]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [*[(None, prose(i)) for i in range(10)], (20, prose(20)), (30, prose(31)), (29, prose(32))]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 # 10 ------------------------------------------------------------------------------------------------------------------
 
 def near_by_brute_force(x):
