@@ -122,6 +122,43 @@ def test_passages_edge(edge, nothing):
     assert compact_windows.repeated_passages(nothing).count() == 0
 
 
+def edited(words, places):
+    return [f"{w}x" if i in places else w for i, w in enumerate(words)]
+
+
+def test_parts_of_edited_passages():
+    def hashed(*texts):
+        h, ends = compact_windows.shingles([[w.encode() for w in t] for t in texts])
+        return np.split(h, ends[:-1])
+    rng = random.Random(5)
+    word = iter(range(10**6))
+
+    def prose(n):
+        return [f"w{next(word)}" for _ in range(n)]
+    # one changed word in 60, beside a part of which every sixth word is changed
+    text = prose(160)
+    a, b = hashed(text, edited(text, {30, *range(60, 160, 6)}))
+    (s, e, u, v, share), = compact_windows.passages(a, b)
+    assert (s, u) == (0, 0) and e == v and e >= 56 and share >= 0.8
+    for _ in range(60):
+        text = prose(rng.randint(60, 220))
+        a, b = hashed(text, edited(text, {i for i in range(len(text)) if rng.random() < rng.choice([0.01, 0.02, 0.06])}))
+        got = list(compact_windows.passages(a, b))
+        # brute force: the longest part that begins and ends with a shared shingle
+        hit, best = a == b, 0
+        count = np.concatenate([[0], np.cumsum(hit)])
+        for i in np.flatnonzero(hit):
+            for j in np.flatnonzero(hit):
+                n, both = j - i + 1, count[j + 1] - count[i]
+                inside = compact_windows.runs(hit[i:j + 1])
+                if n >= 46 and len(inside) == 1 and both >= 0.8 * (2 * n - both) - 1e-9:
+                    best = max(best, int(n))
+        assert max((e - s for s, e, *_ in got), default=0) == best
+        for s, e, u, v, share in got:
+            x, y = set(a[s:e].tolist()), set(b[u:v].tolist())
+            assert share == len(x & y) / len(x | y) >= 0.8
+
+
 # 2 -------------------------------------------------------------------------------------------------------------------
 
 def test_prefix_table_equals_library():
