@@ -122,6 +122,30 @@ def test_passages_edge(edge, nothing):
     assert compact_windows.repeated_passages(nothing).count() == 0
 
 
+def test_passages_beside_a_shared_notice(spark):
+    rng = random.Random(7)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    notice = prose(45)
+    docs = [prose(40) + notice + prose(40) for _ in range(120)]            # the notice alone is no passage
+    pairs = []
+    for _ in range(20):
+        tail = prose(15)                                                   # 60 words in common, 45 of them the notice
+        pairs.append((len(docs), len(docs) + 1))
+        docs += [prose(40) + notice + tail + prose(40) for _ in range(2)]
+    # a large group of copies: pairs with their own three changed words, too far from the others
+    base = prose(60)
+    for _ in range(20):
+        copy = edited(base, {rng.randrange(14, 20), rng.randrange(28, 34), rng.randrange(42, 46)})
+        copy = [w + str(len(docs)) if w.endswith("x") else w for w in copy]
+        pairs.append((len(docs), len(docs) + 1))
+        docs += [prose(20) + copy + prose(20) for _ in range(2)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    got = {tuple(sorted((r.doc_id, r.other_doc_id))) for r in compact_windows.repeated_passages(df).collect()}
+    assert got == set(pairs)
+
+
 def edited(words, places):
     return [f"{w}x" if i in places else w for i, w in enumerate(words)]
 
