@@ -246,7 +246,8 @@ class Encoder:
     """``tokenizers`` ids of whole texts, word by word through a bounded memo.
 
     The byte-level pattern always cuts between a character that is no white space and a space, so a text without white
-    space in front of a space is the chain of its words; any other text goes to the library as it is.
+    space in front of a space is the chain of its words; any other text goes to the library as it is, and so does a
+    text that holds the string of an added token.
     """
     MEMO = 400_000
 
@@ -254,16 +255,18 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True            # their strings in a text are ordinary text
         n = self.library.get_vocab_size()
         self.shift = max(0, (n - 1).bit_length() - 8)
         self.sizes = np.array([len(self.library.id_to_token(i) or "") for i in range(n)])
         probe = self.library.encode(" a b", add_special_tokens=False).ids
         self.by_word = probe == [i for w in (" a", " b") for i in self.library.encode(w, add_special_tokens=False).ids] \
             and self.sizes[probe].sum() == 4
+        added = [x.content for x in self.library.get_added_tokens_decoder().values() if x.content]
+        if self.library.normalizer is not None or any(" " in x for x in added):
+            self.by_word = False                             # an added token may arise from words that do not hold it
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.odd = re.compile(r"\s[ ]|\s\Z").search
+        self.odd = re.compile("|".join([r"\s[ ]|\s\Z", *map(re.escape, added)])).search
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

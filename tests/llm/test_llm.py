@@ -366,6 +366,16 @@ def test_encoder_equals_library():
             assert ids == np.array(enc.library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_added_tokens_as_in_a_fresh_library():
+    from tokenizers import Tokenizer
+    fresh, enc = Tokenizer.from_file(BYTES), idfile.Encoder(BYTES)
+    assert enc.by_word
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  z", "a <|endof text|> b", "plain words here", ""]
+    for t, ids in zip(texts, enc.encode(texts)):
+        assert ids == np.array(fresh.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert 50256 in np.frombuffer(enc.encode(texts)[0], "<u4")
+
+
 def test_token_files(spark, small, edge, nothing):
     lib = idfile.encoder(BYTES).library
     start = 0
