@@ -72,3 +72,18 @@ def nan_to_num(x: Column, nan: float = 0.0, posinf: float | None = None, neginf:
             .when(x == float("inf"), F.lit(posinf if posinf is not None else big))
             .when(x == float("-inf"), F.lit(neginf if neginf is not None else -big))
             .otherwise(x))
+
+
+def inverted(m: str | Column) -> Column:
+    """A map with keys and values swapped; of several keys with one value the last entry's wins, a NULL value is left out."""
+    entries = F.filter(F.map_entries(m), lambda e: e["value"].isNotNull())
+    rest = lambda i: F.slice(entries, i + 2, F.size(entries))
+    last = F.filter(entries, lambda e, i: ~F.exists(rest(i), lambda later: later["value"] == e["value"]))
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["value"], e["key"])))
+
+
+def rows_of(values: Column, width: int) -> Column:
+    """An array cut into rows of ``width`` entries, the last one perhaps shorter; an empty array has no rows."""
+    n = F.ceil(F.size(values) / F.lit(width)).cast("int")
+    places = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.slice(values, i * width + 1, F.lit(width)))

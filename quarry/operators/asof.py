@@ -5,7 +5,8 @@ Spark has no as-of join operator (``_joinAsOf`` plans a nested-loop join),
 so it is formulated with built-in operators only:
 
 * rows of both sides are cut into (key, time bucket) groups, so that a hot
-  key is spread over many tasks instead of one;
+  key is spread over many tasks instead of one; a bucket with too many rows
+  is cut further at equal-depth times;
 * the last right row of every earlier bucket (first of every later bucket
   for forward matches) is carried into a bucket by a window over the small
   (key, bucket) summary, which has one row per bucket;
@@ -14,7 +15,9 @@ so it is formulated with built-in operators only:
   at exactly the left time counts is decided by the order of the ``side``
   column (strict: left sorts first).
 
-Every left row comes out exactly once; no pairs are formed.
+Every left row comes out exactly once; no pairs are formed.  Where buckets are
+hot, the distinct (key, time) of the left side are matched and joined back,
+so many left rows of one instant are not one task's work either.
 """
 from __future__ import annotations
 
@@ -23,6 +26,8 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.ranges import HotCuts, same
+
 BucketFn = Callable[[Column], Column]
 
 
@@ -50,13 +55,21 @@ def _carry(L, R, knames, backward):
                     F.lit(0 if backward else 2).alias("__phase"), F.lit(0).alias("__side")))
 
 
-def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd):
+def _sides(left, right, left_on, right_on, by, bucket):
+    """(key, time, bucket) of all rows of both sides."""
+    def side(df, on):
+        return df.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)], F.col(on).alias("__t"), bucket(F.col(on)).alias("__b"))
+    return [side(left, left_on), side(right, right_on)]
+
+
+def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd, cuts):
     keys = list(by)
     knames = [f"__k{i}" for i in range(len(keys))]
     kcols = [F.col(k).alias(n) for k, n in zip(keys, knames)]
     rpay = [c for c in right.columns if c not in keys]
     L = (left.select(*kcols, F.col(left_on).alias("__t"), F.struct(*left.columns).alias("__L"))
          .withColumn("__b", bucket(F.col("__t"))))
+    L = cuts.assign(L)
     # one right row per (key, time): ties resolve to the largest payload in
     # both directions, so collapsing them first is exact and shrinks hot keys
     # map-side (partial aggregation) before any sort.
@@ -64,6 +77,7 @@ def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd):
          .select(*kcols, F.col(right_on).alias("__t"), F.struct(*rpay).alias("__R"))
          .groupBy(*knames, "__t").agg(F.max("__R").alias("__R"))
          .withColumn("__b", bucket(F.col("__t"))))
+    R = cuts.assign(R)
     parts = [L.withColumn("__phase", F.lit(1)).withColumn("__side", F.lit(1)),
              R.withColumn("__phase", F.lit(1)).withColumn("__side", F.lit(0))]
     if back:
@@ -96,27 +110,42 @@ def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd):
 
 def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
               by: Sequence[str] = (), strict: bool = False, tolerance: str | None = None,
-              direction: str = "backward", bucket: BucketFn = day_bucket) -> DataFrame:
+              direction: str = "backward", bucket: BucketFn = day_bucket, limit: int | None = None) -> DataFrame:
     """Left as-of join.
 
     ``direction``: ``backward`` (last right time <= left time, or < when
     ``strict``), ``forward`` (first right time >= / >), or ``nearest``
     (smaller distance, backward on ties).  ``tolerance`` is an interval
     string such as ``'7 days'``; farther matches give NULLs.  Output: all left
-    columns, then the right columns except the ``by`` keys.
+    columns, then the right columns except the ``by`` keys.  ``limit``: rows
+    above which a (key, bucket) is cut (see
+    :class:`~quarry.operators.ranges.HotCuts`).
     """
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError(f"unknown direction {direction}")
     rpay = [c for c in right.columns if c not in by]
+    by = list(by)
+    cuts = HotCuts(_sides(left, right, left_on, right_on, by, bucket), [f"__k{i}" for i in range(len(by))], ["__t"], limit)
+    if not cuts:
+        return _asof(left, right, left_on, right_on, by, strict, tolerance, direction, bucket, cuts)
+    instants = [*by, left_on]
+    at = [f"__a{i}" for i in range(len(instants))]
+    found = _asof(left.select(*instants).distinct(), right, left_on, right_on, by, strict, tolerance, direction, bucket, cuts)
+    found = found.select(*[F.col(c).alias(a) for c, a in zip(instants, at)], F.struct(*rpay).alias("__match"))
+    return left.join(found, same(instants, at), "left").select(*[left[c] for c in left.columns], *[F.col(f"__match.{c}").alias(c) for c in rpay])
+
+
+def _asof(left, right, left_on, right_on, by, strict, tolerance, direction, bucket, cuts):
+    rpay = [c for c in right.columns if c not in by]
     back = direction in ("backward", "nearest")
     fwd = direction in ("forward", "nearest")
     if back and fwd:        # the later match is sought for the rows that carry their earlier match
-        core = _asof_core(left, right, left_on, right_on, by, strict, bucket, True, False)
+        core = _asof_core(left, right, left_on, right_on, by, strict, bucket, True, False, cuts)
         rows = core.select("__L.*", F.col("__B").alias("__prev"))
-        core = (_asof_core(rows, right, left_on, right_on, by, strict, bucket, False, True)
+        core = (_asof_core(rows, right, left_on, right_on, by, strict, bucket, False, True, cuts)
                 .withColumn("__B", F.col("__L.__prev")).withColumn("__L", F.col("__L").dropFields("__prev")))
     else:
-        core = _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd)
+        core = _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd, cuts)
     lt = F.col("__t")
     B, Fw = (F.col(c) if want else F.lit(None) for c, want in (("__B", back), ("__F", fwd)))
     if direction == "backward":

@@ -19,19 +19,39 @@ def safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     aggregation; only a yes/no reaches the driver).  Row counts of the left
     input and of the output are collected by ``Observation`` during the
     action that consumes the result, so they cost no extra pass.
-    Returns (joined DataFrame, dict of Observations).
+    Returns (joined DataFrame, dict of Observations); :func:`join_report`
+    gives the counts before the join runs.
     """
     on = list(on)
-    if check_right_unique:
-        dup = right.groupBy(*on).count().where(F.col("count") > 1).limit(1).count()
-        if dup:
-            raise JoinKeyNotUnique(f"right side has duplicate keys on {on}")
+    if check_right_unique and not right.groupBy(*on).count().where("count > 1").isEmpty():
+        raise JoinKeyNotUnique(f"right side has duplicate keys on {on}")
     lo, oo = Observation("left_rows"), Observation("out_rows")
     l2 = left.observe(lo, F.count(F.lit(1)).alias("rows"))
     out = l2.join(right, on, how).observe(oo, F.count(F.lit(1)).alias("rows"))
     return out, {"left": lo, "out": oo}
 
 
+def join_report(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """One row about ``left`` join ``right``: left_rows, right_rows, right_keys, right_duplicate_keys, matched_left_rows,
+    out_rows and right_unique, from the counts of each key (two partial aggregates and a join of them).
+
+    A NULL key matches nothing.  ``how``: inner, left, right, full, left_semi or left_anti."""
+    on = list(on)
+    names = [f"__j{i}" for i in range(len(on))]
+    l, r = (df.groupBy(*[F.col(c).alias(n) for c, n in zip(on, names)]).agg(F.count(F.lit(1)).alias(f"__n{s}"))
+            for df, s in ((left, "l"), (right, "r")))
+    j = l.join(r, names, "full")
+    nl, nr = F.coalesce("__nl", F.lit(0)), F.coalesce("__nr", F.lit(0))
+    one_l, one_r = F.greatest(nl, F.lit(1)), F.greatest(nr, F.lit(1))
+    hit = (nl > 0) & (nr > 0)
+    out = {"inner": nl * nr, "left": nl * one_r, "right": one_l * nr, "full": F.when(hit, nl * nr).otherwise(nl + nr),
+           "left_semi": F.when(hit, nl).otherwise(0), "left_anti": F.when(hit, 0).otherwise(nl)}[how]
+    return j.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in (
+        ("left_rows", nl), ("right_rows", nr), ("right_keys", (nr > 0).cast("long")), ("right_duplicate_keys", (nr > 1).cast("long")),
+        ("matched_left_rows", F.when(hit, nl).otherwise(0)), ("out_rows", out))],
+        F.coalesce(F.max(nr) <= 1, F.lit(True)).alias("right_unique"))
+
+
 def join_fanout(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Predict the size of ``left JOIN right`` before running it: the sum over
     keys of count_left * count_right (two partial aggregates and a join of
@@ -44,11 +64,10 @@ def join_fanout(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
 
 
 def merge_ordered_ffill(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Full outer join on an ordered key, then forward fill of ``cols``.
-    Intended for tables with one row per key value (daily series)."""
-    j = a.join(b, key, "full")
-    w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    return j.select(key, *[F.last(c, ignorenulls=True).over(w).alias(c) for c in cols])
+    """Full outer join on an ordered key of any size, then forward fill of ``cols`` along it, by ranges of the key.
+    Meant for one row a key value on each side; a NULL key comes first."""
+    from quarry.operators.windows import global_ffill
+    return global_ffill(a.join(b, key, "full"), [(key, True)], cols).select(key, *cols)
 
 
 def earlier_pair_counts(df: DataFrame, a: str, b: str, time_col: str, id_col: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Reshaping operators: pivots, melt, one-hot, resampling, islands, downcast."""
+"""Reshaping operators: pivots, melt, one-hot, resampling, islands, downcast, categories."""
 from __future__ import annotations
 
 from typing import Sequence
@@ -36,6 +36,55 @@ def downcast(df: DataFrame, lossy: bool = False) -> DataFrame:
     return df.select(*out)
 
 
+def dictionary(df: DataFrame, col: str) -> DataFrame:
+    """The categories of a column: (category, code), codes 0, 1, ... in the order of the values; NULL is no category.
+
+    The distinct values are numbered by ranges, so a column of many values is no one task's work."""
+    from quarry.operators.windows import global_row_number
+    values = df.select(F.col(f"`{col}`").alias("category")).where(F.col("category").isNotNull()).distinct()
+    return global_row_number(values, [("category", True)], "__n").select("category", (F.col("__n") - 1).alias("code"))
+
+
+def encode(df: DataFrame, col: str, categories: DataFrame, code: str | None = None) -> DataFrame:
+    """``df`` with the column ``code`` (default: in place of ``col``): the code of the value, -1 for NULL or a value that
+    ``categories`` (see :func:`dictionary`) does not have.  A common value is no hot task: AQE splits the join."""
+    found = categories.select(F.col("category").alias("__cat"), F.col("code").alias("__code"))
+    j = df.join(found, F.col(f"`{col}`") == F.col("__cat"), "left")
+    value = F.coalesce("__code", F.lit(-1))
+    if code:
+        return j.select(*[F.col(f"`{c}`") for c in df.columns if c != code], value.alias(code))
+    return j.select(*[value.alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
+
+
+def decode(df: DataFrame, code: str, categories: DataFrame, col: str) -> DataFrame:
+    """``df`` with the column ``col``: the value of the code, NULL for -1."""
+    found = categories.select(F.col("code").alias("__code"), F.col("category").alias("__cat"))
+    return df.join(found, F.col(f"`{code}`") == F.col("__code"), "left").select(
+        *[F.col(f"`{c}`") for c in df.columns if c != col], F.col("__cat").alias(col))
+
+
+def compact(df: DataFrame, categories: Sequence[str] = (), lossy: bool = False) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """``df`` with the listed text columns as codes and all numbers in their narrowest types, and the dictionaries."""
+    found = {c: dictionary(df, c) for c in categories}
+    out = df
+    for c, d in found.items():
+        out = encode(out, c, d)
+    return downcast(out.select(*df.columns), lossy), found
+
+
+def parquet_bytes(df: DataFrame) -> int:
+    """Bytes of the table's files when written as Parquet (to a scratch folder, removed again)."""
+    from quarry.sources import scratch_dir
+    path = scratch_dir(df.sparkSession, "size")
+    df.write.parquet(path)
+    jvm, conf = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    size = sum(f.getLen() for f in fs.listStatus(folder) if f.getPath().getName().endswith(".parquet"))
+    fs.delete(folder, True)
+    return size
+
+
 def melt(df: DataFrame, id_vars: Sequence[str], value_vars: Sequence[str],
          var_name: str = "variable", value_name: str = "value") -> DataFrame:
     return df.unpivot(list(id_vars), list(value_vars), var_name, value_name)

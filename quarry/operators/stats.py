@@ -1,26 +1,35 @@
 """Distributed statistics helpers (exact quantiles, Welch t)."""
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.windows import global_row_number
+from quarry.operators.ranges import SMALL_FILES, bisect, kept, leaf_bytes, same
 
-CUTS = 128      # value ranges a group is split into
+CUTS = 1000             # value ranges a group is cut into: a task of the last step holds about 1/1000 of a group
+FEW_GROUPS = 1_000      # groups up to which their cuts (8 kB each) are broadcast
 
 
-def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), small: int = SMALL_FILES) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy's default, SQL
-    ``percentile_cont``) without collecting a group's values in one task.
+    ``percentile_cont``), one row (per group) with one column per name in ``probs``.
 
-    Returns one row (per group) with one column per name in ``probs``.  NULL
-    values do not count; a NULL group is a group, and a group (or table)
-    without values has NULL quantiles.
+    Input files of at most ``small`` bytes: a group's values are sorted in one row, which the files bound.  Beyond that
+    no task holds a group: see :func:`ranged_quantiles`.  NULL values do not count; a NULL group is a group, and a
+    group (or table) without values has NULL quantiles.
     """
-    return _grouped(df, value, probs, list(by)) if by else _overall(df, value, probs)
+    if leaf_bytes(df) > small:
+        return ranged_quantiles(df, value, probs, by)
+    values = F.sort_array(F.collect_list(value)).alias("__s")
+    rows = df.groupBy(*by).agg(values) if by else df.agg(values)
+
+    def between(p: float) -> Column:
+        low, high, part = _wanted(F.size("__s"), p)
+        lo, hi = (F.get("__s", (rank - 1).cast("int")) for rank in (low, high))
+        return F.when(F.size("__s") > 0, lo + part * (hi - lo))
+    return rows.select(*by, *[between(p).alias(name) for name, p in probs.items()])
 
 
 def _wanted(n: Column, p: float) -> tuple[Column, Column, Column]:
@@ -30,48 +39,34 @@ def _wanted(n: Column, p: float) -> tuple[Column, Column, Column]:
     return low, F.least(low + 1, n), h - F.floor(h)
 
 
-def _overall(df: DataFrame, value: str, probs: dict[str, float]) -> DataFrame:
-    """Values are numbered through ``global_row_number`` (range buckets) and
-    only the two neighbouring ranks of every requested position are kept."""
-    v = df.where(F.col(value).isNotNull()).select(F.col(value).alias("__v"))
-    ranked = global_row_number(v, [("__v", True)], alias="__rn").withColumn("__n", v.agg(F.count(F.lit(1))).scalar())
-    rn, x, out = F.col("__rn"), F.col("__v"), []
-    need = F.lit(False)
-    for name, p in probs.items():
-        low, high, part = _wanted(F.col("__n"), p)
-        need = need | (rn == low) | (rn == high)
-        lo, hi = F.max(F.when(rn == low, x)), F.max(F.when(rn == high, x))
-        out.append((lo + F.max(part) * (hi - lo)).alias(name))
-    return ranked.where(need).agg(*out)
-
-
-def _grouped(df: DataFrame, value: str, probs: dict[str, float], by: list[str]) -> DataFrame:
-    """Equal values become one row with a count, each group is cut into value
-    ranges at approximate quantiles, the ranges are counted, and only those
-    that hold a wanted rank are sorted -- so neither a hot group nor a hot
+def ranged_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """The same for groups of any size.  Each group is cut into value ranges at approximate quantiles (one partial
+    aggregate, kept as a table), a second pass counts the ranges map-side, and only the rows of the ranges that hold a
+    wanted rank are shuffled, equal values as one row with a count, and sorted -- so neither a hot group nor a hot
     value is one task's work."""
-    keys = [f"__k{i}" for i in range(len(by))]
-    v = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(value).alias("__v"))
-    groups = v.groupBy(*keys).agg(
-        F.count("__v").alias("__n"), F.percentile_approx("__v", [i / CUTS for i in range(1, CUTS)], 10000).alias("__cuts"))
+    keys = [f"__k{i}" for i in range(len(by))] or ["__all"]
+    v = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], *([] if by else [F.lit(0).alias("__all")]), F.col(value).alias("__v"))
     x = F.col("__v")
+    groups = kept(v.groupBy(*keys).agg(F.count(x).alias("__n"), F.array_distinct(F.percentile_approx(
+        x, [i / CUTS for i in range(1, CUTS)], 10 * CUTS)).alias("__cuts")), "quantile_cuts")
+    few = groups.count() <= FEW_GROUPS
 
     def joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
         other = right.withColumnsRenamed({c: f"{c}_r" for c in on})
-        same = reduce(lambda p, q: p & q, [F.col(c).eqNullSafe(F.col(f"{c}_r")) for c in on])
-        return left.join(other, same, how).drop(*[f"{c}_r" for c in on])
-    counted = joined(v.where(x.isNotNull()).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")), groups, keys)
-    ranged = counted.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < x))).drop("__cuts")
+        return left.join(F.broadcast(other) if few else other, same(on, [f"{c}_r" for c in on]), how).drop(*[f"{c}_r" for c in on])
+    ranged = joined(v.where(x.isNotNull()), groups, keys).withColumn("__b", bisect(F.col("__cuts"), x, CUTS)).drop("__cuts")
     before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)   # CUTS rows a group
-    spans = ranged.groupBy(*keys, "__n", "__b").agg(F.sum("__c").alias("__m")) \
+    spans = ranged.groupBy(*keys, "__n", "__b").agg(F.count(F.lit(1)).alias("__m")) \
         .withColumn("__off", F.coalesce(F.sum("__m").over(before), F.lit(0)))
     hit = F.lit(False)
     for p in probs.values():
         low, high, _ = _wanted(F.col("__n"), p)
         hit = hit | ((high > F.col("__off")) & (low <= F.col("__off") + F.col("__m")))
-    kept = joined(ranged, spans.where(hit).select(*keys, "__b", "__off"), [*keys, "__b"])
+    # two ranges a group and quantile, as a table: its broadcast is bounded by that of the groups
+    hits = kept(spans.where(hit).select(*keys, "__b", "__off"), "quantile_ranges")
+    counted = joined(ranged, hits, [*keys, "__b"]).groupBy(*keys, "__n", "__b", "__off", "__v").agg(F.count(F.lit(1)).alias("__c"))
     upto = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = kept.withColumn("__end", F.col("__off") + F.sum("__c").over(upto))
+    placed = counted.withColumn("__end", F.col("__off") + F.sum("__c").over(upto))
     found, out = [], []
     for i, (name, p) in enumerate(probs.items()):
         low, high, part = _wanted(F.col("__n"), p)
@@ -81,7 +76,9 @@ def _grouped(df: DataFrame, value: str, probs: dict[str, float], by: list[str])
         lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
         out.append((lo + part * (hi - lo)).alias(name))
     ends = placed.groupBy(*keys).agg(*found)
-    return joined(groups, ends, keys, "left").select(*[F.col(k).alias(c) for c, k in zip(by, keys)], *out)
+    # an empty table has no group, but its quantiles over all are one row of NULLs
+    every = groups.drop("__cuts") if by else groups.agg(F.lit(0).alias("__all"), F.coalesce(F.sum("__n"), F.lit(0)).alias("__n"))
+    return joined(every, ends, keys, "left").select(*[F.col(k).alias(c) for c, k in zip(by, keys)], *out)
 
 
 def welch(mean_a: Column, var_a: Column, n_a: Column, mean_b: Column, var_b: Column, n_b: Column):
