@@ -38,6 +38,15 @@ def agg_count_distinct_approx(t):
     return t.orders.groupBy("o_orderstatus").agg(F.approx_count_distinct("o_custkey", 0.01).alias("n_customers"))
 
 
+@query("agg_count_distinct_error", section=S, sql="""
+select o_orderstatus, count(distinct o_custkey) as n_customers, true as within_5_percent from orders group by o_orderstatus
+""")
+def agg_count_distinct_error(t):
+    """The approximate count held against the exact one."""
+    exact, approx = F.countDistinct("o_custkey"), F.approx_count_distinct("o_custkey", 0.01)
+    return t.orders.groupBy("o_orderstatus").agg(exact.alias("n_customers"), (F.abs(approx - exact) <= 0.05 * exact).alias("within_5_percent"))
+
+
 @query("agg_sum_by", section=S, sql="""
 select o_custkey, round(sum(o_totalprice), 4) as total from orders group by o_custkey
 """)

@@ -48,14 +48,28 @@ select d, last_value(x ignore nulls) over (order by d rows between unbounded pre
 from j
 """)
 def join_full_ordered_ffill(t):
-    """merge_ordered(how='outer', fill_method='ffill') on a daily key.  Both
-    sides are aggregated to one row per day first, so the ordered window
-    runs over a calendar-bounded table (H38)."""
+    """merge_ordered(how='outer', fill_method='ffill') on a daily key."""
     a = t.orders.groupBy(F.to_date("o_orderdate").alias("d")).agg(F.count(F.lit(1)).alias("x"))
     b = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(F.count(F.lit(1)).alias("y"))
     return J.merge_ordered_ffill(a, b, "d", ["x", "y"])
 
 
+@query("join_full_ordered_ffill_keys", section=S, sql="""
+with a as (select o_orderkey as k, o_totalprice as price from orders where o_orderkey % 3 <> 0),
+b as (select l_orderkey as k, sum(l_quantity) as quantity from lineitem where l_orderkey % 2 = 0 group by l_orderkey),
+j as (select coalesce(a.k, b.k) as k, a.price, b.quantity from a full join b on a.k = b.k)
+select k, last_value(price ignore nulls) over (order by k rows between unbounded preceding and current row) as price,
+          last_value(quantity ignore nulls) over (order by k rows between unbounded preceding and current row) as quantity
+from j
+""")
+def join_full_ordered_ffill_keys(t):
+    """The same on a key that grows with the data: filled in ranges of the key, each range starting with the last value
+    of those before it."""
+    a = t.orders.where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"))
+    b = t.lineitem.where("l_orderkey % 2 = 0").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_quantity").alias("quantity"))
+    return J.merge_ordered_ffill(a, b, "k", ["price", "quantity"])
+
+
 @query("join_cross", views=("matches",), section=S, sql="""
 select m.match_id, b.bookmaker from matches m, (values ('BK0'), ('BK1'), ('BK2')) b(bookmaker)
 """)
@@ -65,14 +79,13 @@ def join_cross(t):
     return t.matches.select("match_id", F.explode(F.array(*[F.lit(b) for b in ("BK0", "BK1", "BK2")])).alias("bookmaker"))
 
 
-@query("join_anti", section=S, sql=f"""
-select c.c_custkey, c.c_name from customer c left join orders o
-  on o.o_custkey = c.c_custkey where o.o_orderkey is null
+@query("join_anti", section=S, sql="""
+select o.o_orderkey, o.o_custkey from orders o left join lineitem l on l.l_orderkey = o.o_orderkey where l.l_orderkey is null
 """)
 def join_anti(t):
     """LEFT JOIN ... IS NULL written as left_anti (Spark keeps the outer join
-    otherwise)."""
-    return t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_name")
+    otherwise): orders without lines."""
+    return t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti").select("o_orderkey", "o_custkey")
 
 
 @query("join_semi_exists", section=S, sql=f"""
@@ -177,9 +190,18 @@ def asof_forward(t):
     return asof_join(p, v, "ts", "view_ts", by=["user_id"], direction="forward")
 
 
-@query("asof_nearest", section=S)
+@query("asof_nearest", section=S, sql="""
+with p as (select event_id, user_id, ts from events where event_type = 'purchase'),
+v as (select user_id, ts as view_ts, max(event_id) as view_id from events where event_type = 'view' group by 1, 2),
+b as (select p.*, v.view_ts, v.view_id from p asof left join v on p.user_id = v.user_id and p.ts >= v.view_ts),
+f as (select p.event_id, v.view_ts, v.view_id from p asof left join v on p.user_id = v.user_id and v.view_ts >= p.ts),
+j as (select b.event_id, b.user_id, b.ts, b.view_ts as b_ts, b.view_id as b_id, f.view_ts as f_ts, f.view_id as f_id,
+             f.view_ts is null or (b.view_ts is not null and b.ts - b.view_ts <= f.view_ts - b.ts) as back
+      from b join f on f.event_id = b.event_id)
+select event_id, user_id, ts, case when back then b_ts else f_ts end as view_ts, case when back then b_id else f_id end as view_id from j
+""")
 def asof_nearest(t):
-    """Nearest view in time (backward on equal distance); rows-only check."""
+    """Nearest view in time (backward on equal distance)."""
     p, v = _purchases_views(t)
     return asof_join(p, v, "ts", "view_ts", by=["user_id"], direction="nearest")
 
@@ -220,14 +242,36 @@ def safe_asof_q(t):
 select o.o_orderkey, o.o_custkey, c.c_name from orders o left join customer c on c.c_custkey = o.o_custkey
 """)
 def safe_join(t):
-    """Join with a right-key uniqueness check and a row-count report
-    (``safe_merge``); see :func:`quarry.operators.joins.safe_join`."""
-    out, _report = J.safe_join(t.orders.select("o_orderkey", "o_custkey"),
-                               t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name"),
-                               on=["o_custkey"], how="left", check_right_unique=True)
+    """Join with a right-key uniqueness check and row counts observed while it runs (``safe_merge``); see
+    :func:`quarry.operators.joins.safe_join`.  safe_join_report has the counts beforehand."""
+    out, _observed = J.safe_join(*_with_customer(t), on=["o_custkey"], how="left", check_right_unique=True)
     return out.select("o_orderkey", "o_custkey", "c_name")
 
 
+def _with_customer(t):
+    return t.orders.select("o_orderkey", "o_custkey"), t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
+
+
+@query("safe_join_report", section=S, sql="""
+with c as (select c_custkey as k, count(*) as n from customer group by 1),
+o as (select o_custkey as k, count(*) as n from orders group by 1),
+l as (select l_orderkey as k, count(*) as n from lineitem group by 1),
+ok as (select o_orderkey as k, count(*) as n from orders group by 1),
+j as (
+  select 'orders to customers' as checked, coalesce(o.n, 0) as nl, coalesce(c.n, 0) as nr from o full join c on c.k = o.k
+  union all select 'orders to lines', coalesce(ok.n, 0), coalesce(l.n, 0) from ok full join l on l.k = ok.k)
+select checked, sum(nl)::bigint as left_rows, sum(nr)::bigint as right_rows, count(*) filter (where nr > 0) as right_keys,
+       count(*) filter (where nr > 1) as right_duplicate_keys, coalesce(sum(nl) filter (where nr > 0), 0)::bigint as matched_left_rows,
+       sum(nl * greatest(nr, 1))::bigint as out_rows, max(nr) <= 1 as right_unique
+from j group by checked
+""")
+def safe_join_report(t):
+    """The reports of two joins before they run: one that keeps its rows, and one that multiplies them."""
+    lines = J.join_report(t.orders.select("o_orderkey"), t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"], "left")
+    return J.join_report(*_with_customer(t), ["o_custkey"], "left").select(F.lit("orders to customers").alias("checked"), "*").union(
+        lines.select(F.lit("orders to lines").alias("checked"), "*"))
+
+
 @query("apply_topk", section=S, sql="""
 select c.c_custkey, x.o_orderkey, x.o_totalprice from customer c,
 lateral (select o.o_orderkey, o.o_totalprice from orders o where o.o_custkey = c.c_custkey
@@ -254,3 +298,16 @@ def concat_horizontal(t):
     b = (t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
          .groupBy(F.col("o_custkey").alias("custkey")).agg(F.count(F.lit(1)).alias("n_lines")))
     return a.join(b, "custkey", "full")
+
+
+@query("concat_horizontal_position", section=S, sql="""
+with a as (select s_suppkey, s_acctbal, row_number() over (order by s_acctbal desc, s_suppkey) - 1 as position from supplier),
+b as (select p_partkey, p_retailprice, row_number() over (order by p_retailprice desc, p_partkey) - 1 as position from part)
+select coalesce(a.position, b.position) as position, s_suppkey, s_acctbal, p_partkey, p_retailprice
+from a full join b on a.position = b.position
+""")
+def concat_horizontal_position(t):
+    """zip_longest / concat(axis=1) by position: two tables of different length, each in its own order, side by side."""
+    from quarry.operators.windows import zip_rows
+    return zip_rows(t.supplier.select("s_suppkey", "s_acctbal"), t.part.select("p_partkey", "p_retailprice"),
+                    [("s_acctbal", False), ("s_suppkey", True)], [("p_retailprice", False), ("p_partkey", True)])

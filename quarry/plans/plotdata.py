@@ -145,16 +145,34 @@ def plot_scatter_grid(t):
         F.count(F.lit(1)).alias("n"))
 
 
+_LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_PAIRS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
 @query("plot_scatter_sample", section=S, sql="""
-select l_quantity, l_extendedprice from lineitem
-where ('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8))::bigint % 100 < 5
+with h as (
+  select l_returnflag, l_quantity, l_extendedprice, row_number() over (
+    partition by l_returnflag order by md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)),
+    l_orderkey, l_linenumber, l_partkey, l_suppkey) as n from lineitem)
+select l_returnflag, l_quantity, l_extendedprice from h where n <= 500
 """)
-def plot_scatter_sample(t, percent: int = 5):
-    """A reproducible ~5 % sample of the points: the sample is the feature, the row key's md5 decides;
-    plot_scatter_grid has all points."""
-    key = F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").cast("binary"))
-    return t.lineitem.where(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") % 100 < percent) \
-        .select("l_quantity", "l_extendedprice")
+def plot_scatter_sample(t, k: int = 500):
+    """At most k points a panel for a scatter plot: the sample is the feature, the smallest MD5s of the row key decide;
+    plot_scatter_grid and plot_pairs have all points."""
+    from quarry.operators.sampling import bottom_k
+    return bottom_k(t.lineitem, k, _LINE_KEY, ["l_returnflag"]).select("l_returnflag", "l_quantity", "l_extendedprice")
+
+
+@query("plot_pairs", section=S, sql="""
+with e as (select """ + ", ".join(f"min({c}) as lo_{c}, max({c}) as hi_{c}" for c in _PAIRS) + """ from lineitem),
+b as (select """ + ", ".join(
+    f"least(floor(({c} - lo_{c}) * 10 / (hi_{c} - lo_{c})), 9)::int as {c}" for c in _PAIRS) + """ from lineitem, e)
+""" + "\nunion all\n".join(f"select '{a}' as col_x, '{b}' as col_y, {a} as bin_x, {b} as bin_y, count(*) as n from b group by all"
+                         for i, a in enumerate(_PAIRS) for b in _PAIRS[i + 1:]))
+def plot_pairs(t):
+    """Pairwise panels: the point counts of every pair of columns on a 10 x 10 grid."""
+    from quarry.operators.sampling import pair_grids
+    return pair_grids(t.lineitem, _PAIRS, 10)
 
 
 @query("plot_regression", section=S, sql="""

@@ -81,12 +81,12 @@ def filter_like_ci_ai(t):
 
 
 @query("filter_null", section=S, sql="""
-select c.c_custkey from customer c left join orders o
-  on o.o_custkey = c.c_custkey where o.o_orderkey is null
+select o.o_orderkey from orders o left join lineitem l on l.l_orderkey = o.o_orderkey where l.l_linenumber is null
 """)
 def filter_null(t):
-    j = t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return j.where(F.col("o_orderkey").isNull()).select("c_custkey")
+    """IS NULL on the output of an outer join: orders without lines."""
+    j = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return j.where(F.col("l_linenumber").isNull()).select("o_orderkey")
 
 
 @query("filter_sargable_range", section=S, sql="""
@@ -200,12 +200,49 @@ def cast_types(t):
                            F.floor("o_totalprice").cast("bigint").alias("whole"))
 
 
-@query("downcast_numeric", section=S)
+_NARROW = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+
+
+def _narrow_sql(c: str) -> str:
+    return f"""case when min({c}) >= -128 and max({c}) <= 127 then 'tinyint' when min({c}) >= -32768 and max({c}) <= 32767 then 'smallint'
+  when min({c}) >= -2147483648 and max({c}) <= 2147483647 then 'int' else 'bigint' end"""
+
+
+@query("downcast_numeric", section=S, sql="""
+with types as (select """ + ",\n".join(f"{_narrow_sql(c)} as t_{c}" for c in _NARROW) + """ from lineitem)
+select l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity::bigint as l_quantity, """
+       + ", ".join(f"t.t_{c}" for c in _NARROW) + """, dense_rank() over (order by l_returnflag) - 1 as l_returnflag, 'tinyint' as t_l_returnflag
+from lineitem l, types t
+""")
 def downcast_numeric(t):
-    """Narrowest integer type per column from one min/max aggregate over all
-    columns; the bounds come back as one row and drive the casts."""
-    from quarry.operators.reshape import downcast
-    return downcast(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"), lossy=True)
+    """Narrowest integer type per column from one min/max aggregate over all columns (the bounds come back as one row
+    and drive the casts), a text column as category codes, and the types that came out."""
+    from quarry.operators.reshape import compact
+    out, _ = compact(t.lineitem.select(*_NARROW, "l_returnflag"), categories=["l_returnflag"], lossy=True)
+    return out.select("*", *[F.typeof(c).alias(f"t_{c}") for c in out.columns])
+
+
+@query("category_codes", section=S, sql="""
+select o_orderkey, dense_rank() over (order by o_orderpriority) - 1 as code, o_orderpriority as decoded from orders
+""")
+def category_codes(t):
+    """Categorical column: dense codes in the order of the values, and the values back through the dictionary."""
+    from quarry.operators.reshape import decode, dictionary, encode
+    found = dictionary(t.orders, "o_orderpriority")
+    coded = encode(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", found, "code").drop("o_orderpriority")
+    return decode(coded, "code", found, "decoded")
+
+
+@query("compact_sizes", section=S, sql="""
+select 'lineitem' as tab, count(*) as n_rows, true as smaller from lineitem
+""")
+def compact_sizes(t):
+    """Files of the line items before and after narrowing and coding: fewer bytes, as many rows."""
+    from quarry.operators.reshape import compact, parquet_bytes
+    df = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    out, _ = compact(df, categories=["l_returnflag", "l_linestatus"])
+    before, after = parquet_bytes(df), parquet_bytes(out)
+    return out.agg(F.lit("lineitem").alias("tab"), F.count(F.lit(1)).alias("n_rows"), F.lit(after < before).alias("smaller"))
 
 
 @query("rename_drop", section=S, sql="""

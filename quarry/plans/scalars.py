@@ -167,7 +167,7 @@ def arr_map_filter(t):
 
 
 @query("arr_accumulate", section=S, sql="""
-select vec_id, list_transform(range(1, len(embedding) + 1), lambda i: round(list_sum(list_transform(embedding[1:i], lambda x: x::double)), 4)) as prefix
+select vec_id, list_transform(range(1, len(embedding) + 1), lambda i: round(list_sum(list_transform(embedding[1:i], lambda x: x::double)), 4) + 0.0) as prefix
 from embeddings
 """)
 def arr_accumulate(t):
@@ -178,12 +178,13 @@ def arr_accumulate(t):
 
 
 @query("arr_flatten", section=S, sql="""
-select vec_id, flatten(list_transform(range(0, 8), lambda i: embedding[i * 8 + 1:i * 8 + 8])) as flat from embeddings
+select vec_id, len(list_transform(range(0, (len(embedding) + 6) // 7), lambda i: embedding[i * 7 + 1:i * 7 + 7])) as n_rows, embedding as flat
+from embeddings
 """)
 def arr_flatten(t):
-    """The vector as an 8x8 grid of rows, and the rows end to end again."""
-    grid = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("embedding", i * 8 + 1, 8))
-    return t.embeddings.select("vec_id", F.flatten(grid).alias("flat"))
+    """The vector as rows of 7 (the last one shorter), however long it is, and the rows end to end again."""
+    grid = C.rows_of(F.col("embedding"), 7)
+    return t.embeddings.select("vec_id", F.size(grid).cast("long").alias("n_rows"), F.flatten(grid).alias("flat"))
 
 
 @query("arr_slice_index", section=S, sql="""
@@ -272,13 +273,12 @@ def map_build_get(t):
 
 
 @query("map_invert", section=S, sql="""
-select c_custkey, c_mktsegment as segment_back from customer
+select conv_id, role, max(turn) as turn from conversations group by conv_id, role
 """)
 def map_invert(t):
-    """Swap keys and values of a map and read back through the inverted map."""
-    m = F.create_map("c_mktsegment", F.col("c_custkey"))
-    inv = F.map_from_arrays(F.map_values(m), F.map_keys(m))
-    return t.customer.select("c_custkey", F.element_at(inv, F.col("c_custkey")).alias("segment_back"))
+    """A map turn -> role for each conversation, with keys and values swapped: of the turns of a role the last one stays."""
+    roles = t.conversations.groupBy("conv_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("turn", "role")))).alias("m"))
+    return roles.select("conv_id", F.explode(C.inverted("m")).alias("role", "turn"))
 
 
 @query("json_value", section=S, sql="""

@@ -165,12 +165,41 @@ def gen_numbers(t):
     return s.select("i", F.round(F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / 10, 6).alias("x"))
 
 
-@query("gen_random", section=S)
+def _u(seed: int, draw: str | int) -> str:
+    """The uniform number of quarry.functions.random in SQL, keyed by the order."""
+    text = f"'{seed}:' || o_orderkey || ':' || ({draw})"
+    return f"((('0x' || substr(md5({text}), 1, 13))::bigint::double + 0.5) / 4503599627370496.0)"
+
+
+def _n(seed: int, draw: str | int) -> str:
+    return f"(sqrt(-2.0 * ln({_u(seed, f'({draw}) * 2')})) * cos(2.0 * pi() * {_u(seed, f'({draw}) * 2 + 1')}))"
+
+
+_D, _C = 2.2 - 1.0 / 3.0, 1.0 / (9.0 * (2.2 - 1.0 / 3.0)) ** 0.5
+
+
+@query("gen_random", section=S, sql=f"""
+with tries as (
+  select o_orderkey, i, sqrt(-2.0 * ln({_u(3, 'i * 3 + 4096')})) * cos(2.0 * pi() * {_u(3, 'i * 3 + 4097')}) as x, {_u(3, 'i * 3 + 4098')} as u
+  from orders, range(0, 64) r(i)),
+cubes as (select *, pow(1.0 + {_C!r} * x, 3.0) as v from tries),
+gammas as (
+  select o_orderkey, arg_min({_D!r} * v, i) * 30.0 as amount from cubes
+  where v > 0 and ln(u) < 0.5 * x * x + {_D!r} - {_D!r} * v + {_D!r} * ln(v) group by o_orderkey)
+select o.o_orderkey, round({_u(3, 0)}, 9) as uniform, round(120.0 + 40.0 * {_n(3, 1)}, 6) as normal, 1 + floor({_u(3, 4)} * 5)::bigint as team,
+       case when {_u(3, 5)} < 0.6 then 'visit' when {_u(3, 5)} < 0.85 then 'signup' else 'purchase' end as event,
+       case when {_u(3, 6)} < 0.5 then 'A' else 'B' end as variant, round(g.amount, 6) as amount
+from orders o join gammas g using (o_orderkey)
+""")
 def gen_random(t):
-    """Seeded synthetic columns per row: uniform, normal, weighted choice."""
-    u = F.rand(42)
-    choice = F.when(u < 0.6, "visit").when(u < 0.9, "signup").otherwise("purchase")
-    return t.orders.select("o_orderkey", F.rand(7).alias("uniform"), F.randn(12).alias("normal"), choice.alias("event"))
+    """Seeded synthetic columns for every order, each a function of seed, key and draw number: uniform, normal, whole
+    numbers, weighted and even choice, and gamma amounts (shape 2.2, scale 30)."""
+    from quarry.functions import random as R
+    k = F.col("o_orderkey")
+    return t.orders.select(
+        "o_orderkey", F.round(R.uniform(3, k, 0), 9).alias("uniform"), F.round(R.normal(3, k, 1, 120.0, 40.0), 6).alias("normal"),
+        R.integers(3, k, 4, 1, 6).alias("team"), R.choice(3, k, 5, ["visit", "signup", "purchase"], [0.6, 0.25, 0.15]).alias("event"),
+        R.choice(3, k, 6, ["A", "B"]).alias("variant"), F.round(R.gamma(3, k, 4, 2.2, 30.0), 6).alias("amount"))
 
 
 @query("sample_rows", section=S)

@@ -2,8 +2,9 @@
 
 Each key runs a real Structured Streaming query over the table's parquet
 file (availableNow trigger, sink in the shared checkpoint folder) and returns
-the sink's content, so the batch oracle checks stream = batch on the
-windows the watermark has closed."""
+the sink's content, so the batch oracle checks stream = batch.  The windowed
+keys run in update mode: every window is returned in its last version, marked
+closed once the watermark has passed it."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
@@ -21,32 +22,35 @@ def _events_stream(t):
 
 @query("stream_tumbling_daily", section=S, sql="""
 with m as (select max(ts) as mx from events)
-select date_trunc('day', ts) as day_start, event_type, count(*) as n, round(sum(value), 6) as total
+select date_trunc('day', ts) as day_start, event_type, count(*) as n, round(sum(value), 6) as total,
+       date_trunc('day', ts) + interval 1 day <= mx - interval 1 day as closed
 from events, m group by date_trunc('day', ts), event_type, mx
-having date_trunc('day', ts) + interval 1 day <= mx - interval 1 day
 """)
 def stream_tumbling_daily(t):
     out = src.scratch_dir(t.spark, "stream_daily")
-    st.run_available(st.tumbling_daily(_events_stream(t)), out)
-    r = t.spark.read.parquet(out)
+    days = st.tumbling_daily(_events_stream(t))
+    st.run_available(days, out, mode="update")
+    r = st.last_versions(t.spark, out, days.schema, ["day_start", "event_type"], "day_end")
     return r.select(F.col("day_start").cast("timestamp_ntz").alias("day_start"), "event_type", "n",
-                    F.round("total", 6).alias("total"))
+                    F.round("total", 6).alias("total"), "closed")
 
 
 @query("stream_sliding_avg", section=S, sql="""
 with m as (select max(ts) as mx from events),
 x as (select date_trunc('day', ts) - to_days(k) as window_start, value
       from events, range(0, 7) r(k))
-select window_start, window_start + interval 7 day as window_end, round(avg(value), 6) as avg_value, count(*) as n
-from x, m group by window_start, mx having window_start + interval 7 day <= mx - interval 1 day
+select window_start, window_start + interval 7 day as window_end, round(avg(value), 6) as avg_value, count(*) as n,
+       window_start + interval 7 day <= mx - interval 1 day as closed
+from x, m group by window_start, mx
 """)
 def stream_sliding_avg(t):
     out = src.scratch_dir(t.spark, "stream_sliding")
-    st.run_available(st.sliding_avg(_events_stream(t)), out)
-    r = t.spark.read.parquet(out)
+    weeks = st.sliding_avg(_events_stream(t))
+    st.run_available(weeks, out, mode="update")
+    r = st.last_versions(t.spark, out, weeks.schema, ["window_start"], "window_end")
     return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                     F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                    F.round("avg_value", 6).alias("avg_value"), "n")
+                    F.round("avg_value", 6).alias("avg_value"), "n", "closed")
 
 
 @query("stream_dedup", section=S, sql="select distinct user_id, event_type from events")

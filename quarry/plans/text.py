@@ -35,7 +35,7 @@ from e group by 1, 2
 """)
 def email_scan(t):
     """PII scan: every e-mail address in every document, totals per source and domain."""
-    e = t.documents.select("source", "doc_id", "text").select("source", "doc_id", F.explode(F.regexp_extract_all("text", F.lit(EMAIL), 0)).alias("email"))
+    e = t.documents.where(F.contains("text", F.lit("@"))).select("source", "doc_id", F.explode(F.regexp_extract_all("text", F.lit(EMAIL), 0)).alias("email"))
     return e.groupBy("source", F.lower(F.split_part("email", F.lit("@"), F.lit(2))).alias("domain")).agg(
         F.count(F.lit(1)).alias("n_emails"), F.countDistinct("doc_id").alias("n_docs"))
 

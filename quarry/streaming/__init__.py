@@ -11,7 +11,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def event_stream(spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet",
@@ -27,11 +27,12 @@ def event_stream(spark: SparkSession, folder: str, schema: StructType, glob: str
 
 def tumbling_daily(stream: DataFrame, by: Sequence[str] = ("event_type",), value: str = "value",
                    time_col: str = "ts", watermark: str = "1 day") -> DataFrame:
-    """Daily totals per key; a day is emitted once the watermark passes it."""
+    """Daily totals per key.  In append mode a day comes out once the watermark passes it, in update mode whenever it
+    changed; ``seen`` is its latest event (for :func:`last_versions`)."""
     return (stream.withWatermark(time_col, watermark)
             .groupBy(F.window(time_col, "1 day").alias("w"), *by)
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
-            .select(F.col("w.start").alias("day_start"), *by, "n", "total"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.max(time_col).alias("seen"))
+            .select(F.col("w.start").alias("day_start"), F.col("w.end").alias("day_end"), *by, "n", "total", "seen"))
 
 
 def sliding_avg(stream: DataFrame, value: str = "value", time_col: str = "ts", length: str = "7 days",
@@ -39,8 +40,8 @@ def sliding_avg(stream: DataFrame, value: str = "value", time_col: str = "ts", l
     """Mean over a trailing calendar window (7 days, advancing daily)."""
     return (stream.withWatermark(time_col, watermark)
             .groupBy(F.window(time_col, length, slide).alias("w"))
-            .agg(F.avg(value).alias("avg_value"), F.count(F.lit(1)).alias("n"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "avg_value", "n"))
+            .agg(F.avg(value).alias("avg_value"), F.count(F.lit(1)).alias("n"), F.max(time_col).alias("seen"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "avg_value", "n", "seen"))
 
 
 def dedup(stream: DataFrame, keys: Sequence[str], time_col: str = "ts", watermark: str | None = None) -> DataFrame:
@@ -85,3 +86,20 @@ def run_available(stream: DataFrame, out_dir: str, mode: str = "append") -> None
         q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ck)
              .outputMode(mode).trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def last_versions(spark: SparkSession, out_dir: str, schema: StructType, keys: Sequence[str], end: str,
+                  watermark: str = "1 day") -> DataFrame:
+    """What an update-mode run of windows left in ``out_dir``: the last version of each window (``keys``), and ``closed``:
+    whether the watermark, which lags the latest event (``seen``) by ``watermark``, has passed its ``end``.
+
+    A version is the batch that wrote it; the last one is a maximum per key, combined map-side.  Without any batch the
+    result is empty."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(out_dir)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema).withColumn("closed", F.lit(True))
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(out_dir)
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("v")).select(*keys, "v.*")
+    mark = rows.agg(F.max("seen") - F.expr(f"INTERVAL {watermark}")).scalar()
+    return last.select(*schema.fieldNames(), (F.col(end) <= mark).alias("closed"))
