@@ -40,7 +40,7 @@ def test_entry_contract(spark):
 EXPECTED = {"odds_last_prematch": 19843, "dq_no_stats": 257, "dq_no_injury_report": 9080,
             "dq_duplicates_report_nodate": 3384, "dq_duplicates_report": 18, "h2h_last5": 14696,
             "form_prev5": 30000, "league_table": 175, "unpaid_orders": 12020, "dup_customers_city": 586,
-            "join_anti": 1323, "dormant_customers": 1024, "gaps_islands": 568, "asof_backward": 1981,
+            "join_anti": 257, "filter_null": 257, "dormant_customers": 1024, "gaps_islands": 568, "asof_backward": 1981,
             "global_row_number": 1500, "dq_time_order": 29157, "dq_unique_key": 11785}
 
 
