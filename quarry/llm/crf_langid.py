@@ -1,6 +1,7 @@
 """Language labels for words by a linear-chain conditional random field.
 
-Each word's emission comes from hashed features: affixes, character n-grams and the word itself (a learned lexicon).
+A word is a run of letters; a run of more than 24 characters, as in text without spaces, is cut into consecutive words
+of that length, so every letter is seen.  Each word's emission comes from hashed features: affixes, character n-grams and the word itself (a learned lexicon).
 Learned transitions tie neighbours together, and forward-backward gives every word its probability for each language,
 so code-switched text gets runs of labels.  A text's language is the one with the largest sum over its words.
 
@@ -28,9 +29,11 @@ SAMPLE_CHARS = 20_000      # longer documents are not drawn into the sample
 SAMPLE_WORDS = 60_000      # words of their segments at most
 SEGMENT = 20               # mean words of a segment
 HASH_BITS = 17             # hashed feature weights a language
-WIDTH = 24                 # characters of a word that features see: its first and last dozen
+WIDTH = 24                 # characters of a place of the chain; a longer run of letters takes several places
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
+# numerals such as one half, superscript two or Roman eight count as word characters of a pattern, but are no letters
+NUMERALS = "".join(c for c in map(chr, range(0x20000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{NUMERALS}]{{1,{WIDTH}}}")
 
 
 def split_rule(doc_id: Column) -> Column:
@@ -40,8 +43,7 @@ def split_rule(doc_id: Column) -> Column:
 
 def word_features(words: list[str]) -> np.ndarray:
     """Feature numbers of each word (one row; unused places have number 0)."""
-    cut = [w if len(w) <= WIDTH else w[:WIDTH // 2] + w[-WIDTH // 2:] for w in words]
-    c = np.array(cut, dtype=f"<U{WIDTH}").view(np.uint32).reshape(len(words), WIDTH)
+    c = np.array(words, dtype=f"<U{WIDTH}").view(np.uint32).reshape(len(words), WIDTH)
     n = (c != 0).sum(axis=1)
     rows = np.arange(len(words))
     c = np.concatenate([np.full((len(words), 1), 2, np.uint32), c, np.zeros((len(words), 1), np.uint32)], axis=1)
