@@ -7,10 +7,11 @@
 """
 from __future__ import annotations
 
+import math
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,11 +78,32 @@ def order_key(df: DataFrame, order: Sequence[tuple[str, bool]]) -> Column:
 
 def bisect(bounds: Column, key: Column, most: int) -> Column:
     """How many of at most ``most`` ascending ``bounds`` lie below ``key``, by halving steps."""
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(most, 1).bit_length()))])
+    steps = F.expr(f"array({', '.join(str(1 << b) for b in reversed(range(max(most, 1).bit_length())))})")
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
         F.get(bounds, at + step - 1).isNotNull() & (F.get(bounds, at + step - 1) < key), at + step).otherwise(at))
 
 
+def _place(key: Row) -> tuple:
+    """Sorts as Spark sorts the struct: NULL first, NaN last, texts by code point."""
+    return tuple((0, 0) if v is None else (2, 0) if isinstance(v, float) and math.isnan(v) else (1, bytes(v) if isinstance(v, bytearray) else v)
+                 for v in key)
+
+
+def _literal(key: Row, kind: T.StructType) -> str:
+    """A key as SQL.  Texts and bytes are written in hexadecimal, numbers with all their digits."""
+    def one(v, f: T.StructField) -> str:
+        if v is None:
+            text = "null"
+        elif isinstance(v, str):
+            text = f"decode(unhex('{v.encode().hex()}'), 'UTF-8')"
+        elif isinstance(v, (bytes, bytearray)):
+            text = f"unhex('{bytes(v).hex()}')"
+        else:
+            text = f"'{v!r}'" if isinstance(v, float) else f"'{v}'"
+        return f"'{f.name}', cast({text} as {f.dataType.simpleString()})"
+    return "named_struct(" + ", ".join(one(v, f) for v, f in zip(key, kind)) + ")"
+
+
 class Ranges:
     """Ranges of ``df`` by ``order`` (column, ascending); one pass draws the sample and counts the rows.
 
@@ -94,13 +116,14 @@ class Ranges:
         seen = Observation("rows")
         keys = df.select(order_key(df, order).alias("k")).observe(seen, F.count(F.lit(1)).alias("n"))
         self.type = keys.schema["k"].dataType
-        drawn = keys.orderBy(F.rand(17)).limit(SAMPLE).orderBy("k").collect()
+        size = SAMPLE if (many or MOST) > SAMPLE // 16 and leaf_bytes(df) > SMALL_FILES else SAMPLE // 8
+        drawn = sorted((r.k for r in keys.orderBy(F.rand(17)).limit(size).collect()), key=_place)
         self.rows = seen.get["n"]
         many = many or min(MOST, max(FEWEST, -(-self.rows // rows)))
-        cuts = [drawn[len(drawn) * i // many].k for i in range(1, many)] if drawn else []
+        cuts = [drawn[len(drawn) * i // many] for i in range(1, many)] if drawn else []
         self.cuts, self.parts = [], []
         for c in cuts:
-            if self.cuts and repr(tuple(c)) == repr(tuple(self.cuts[-1])):
+            if self.cuts and _place(c) == _place(self.cuts[-1]):
                 self.parts[-1] += 1
             else:
                 self.cuts.append(c)
@@ -111,11 +134,11 @@ class Ranges:
         key = order_key(df, self.order)
         if not self.cuts:
             return F.lit(0).cast("long")
-        cuts = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(c, self.type)]) for c in self.cuts])
+        cuts = F.expr("array(" + ", ".join(_literal(c, self.type) for c in self.cuts) + ")")
         at = bisect(cuts, key, len(self.cuts))
         if not self.split or max(self.parts) == 1:
             return at.cast("long") * 2 * SPLIT
-        parts = F.get(F.array(*[F.lit(p) for p in self.parts]), at)
+        parts = F.get(F.expr(f"array({', '.join(map(str, self.parts))})"), at)
         own = (parts > 1) & (F.get(cuts, at) == key)        # the key that fills the cut above: the last of its range
         part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in self.columns]), parts)
         return F.when(own, (at.cast("long") * 2 + 1) * SPLIT + part).otherwise(at.cast("long") * 2 * SPLIT)

@@ -27,6 +27,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.adaptive.coalescePartitions.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # naming the Python line of every expression costs several JVM calls each, most of a short query's planning
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "16g"),
     }.items():
         if not given.contains(k):
