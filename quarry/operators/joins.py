@@ -63,6 +63,23 @@ def join_fanout(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
                                F.max(F.col("nr")).alias("max_right_per_key"))
 
 
+COPIES = 10_000       # rows of one value that a task writes at once
+
+
+def except_all(a: DataFrame, b: DataFrame) -> DataFrame:
+    """EXCEPT ALL: of every row as many copies as ``a`` has more than ``b`` (columns by position; NULLs are equal).
+
+    Values stay counts until the end: both sides are counted in one partial aggregate, and the copies of a common value
+    are written by many tasks, ``COPIES`` at a time."""
+    cols = a.columns
+    counted = (a.withColumn("__n", F.lit(1).cast("long")).union(b.withColumn("__n", F.lit(-1).cast("long")))
+               .groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.sum("__n").alias("__n")).where("__n > 0"))
+    dealt = counted.withColumn("__at", F.explode(F.expr(f"sequence(0L, (__n - 1) div {COPIES})"))) \
+        .withColumn("__n", F.least(F.lit(COPIES), F.col("__n") - F.col("__at") * COPIES))
+    spread = dealt.repartition(*[F.col(f"`{c}`") for c in cols], "__at")
+    return spread.select(*[F.col(f"`{c}`") for c in cols], F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))).alias("__i")).drop("__i")
+
+
 def merge_ordered_ffill(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Full outer join on an ordered key of any size, then forward fill of ``cols`` along it, by ranges of the key.
     Meant for one row a key value on each side; a NULL key comes first."""

@@ -142,3 +142,13 @@ def test_update_mode_keeps_the_last_version(spark):
     assert {(r.day_start.day, r.n, r.closed) for r in rows} == {(1, 1, True), (2, 2, True), (5, 1, False)}
     none = st.last_versions(spark, src.scratch_dir(spark, "never"), stream.schema, ["day_start", "event_type"], "day_end")
     assert none.count() == 0 and none.columns == [*stream.columns, "closed"]
+
+
+def test_except_all_spreads_copies(spark):
+    a = spark.range(45_000).selectExpr("case when id % 3 = 0 then 'hot' when id % 1000 = 1 then null else concat('v', id % 50) end as x", "1 as y")
+    b = a.where("x is null or x = 'v7'").limit(300).union(spark.createDataFrame([("only b", 1)], "x string, y int"))
+    got, want = J.except_all(a, b), a.exceptAll(b)
+    assert sorted(map(str, got.groupBy("x", "y").count().collect())) == sorted(map(str, want.groupBy("x", "y").count().collect()))
+    held = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("x") == "hot").alias("n")).collect()
+    assert max(r.n for r in held) <= 10_000 and got.columns == ["x", "y"]
+    assert J.except_all(a.where("false"), b).count() == 0
