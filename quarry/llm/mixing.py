@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-DataFrame functions only.  Every document gets a 60-bit hash of its id.  Per source, words are summed by hash
+DataFrame functions only.  Every document gets a 60-bit hash of its id and text.  Per source, words are summed by hash
 bucket; the running sum over the (at most 4,096) buckets shows the bucket in which the source's word budget ends.
 Only the documents of that one bucket are summed again by the next 12 bits, and so on until the boundary bucket
 holds a single hash.  The documents taken are then those whose hash lies below the source's threshold: a filter, no
@@ -25,9 +25,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def id_hash(doc_id: Column) -> Column:
-    """The first 60 bits of the id's MD5 as a non-negative long; null counts as an empty string."""
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
+def row_hash(doc_id: Column, text: Column) -> Column:
+    """The first 60 bits of the MD5 of id, colon and text as a non-negative long; null counts as an empty string."""
+    both = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(both.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -57,16 +58,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """Per document (doc_id, source, size, source_size, target, copies, taken): how often the mix takes it.
+    """Per document (doc_id, source, h, size, source_size, target, copies, taken): how often the mix takes it.
 
     A source whose target is r times its size takes every document floor(r) times and those below the hash threshold
     once more; of the two thresholds around the budget the nearer one counts (the lower on a tie).  Documents are
-    taken whole.  Null text: size 0.  Null source: a source of its own, last in order.  Repeated rows and equal ids
-    share their hash, so they are taken or left together.  A source without words has target 0 and no copies.
+    taken whole.  Null text: size 0.  Null source: a source of its own, last in order.  Rows that repeat id and text
+    share their hash, so they are taken or left together; equal or null ids of different texts are not.  A source without words has target 0 and no copies.
     An empty table gives no rows.  The result depends on ids, sources and sizes alone, so reruns agree.
     """
-    facts = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
-                                word_count(F.col(text)).alias("size"), id_hash(F.col(doc_id)).alias("h")), "mix")
+    i, t, s = (F.col(f"`{c}`") for c in (doc_id, text, source))
+    facts = written(docs.select(i.alias("doc_id"), s.cast("string").alias("source"), word_count(t).alias("size"),
+                                row_hash(i, t).alias("h")), "mix")
     sizes = facts.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(sizes, weights), "mix")
     ratio = F.col("target") / F.col("source_size")
@@ -105,17 +107,18 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         F.col("source").alias("s"), "source_size", "target", "base", "stop")
     copies = F.col("base") + F.coalesce((F.col("h") < F.col("stop")).cast("long"), F.lit(0))
     return (per_source(facts, plan)
-            .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
+            .select("doc_id", "source", "h", "size", "source_size", "target", copies.alias("copies"),
                     (F.col("size") * copies).alias("taken")))
 
 
 def sample_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, all columns kept."""
-    n, key = free_name(docs, "copies"), free_name(docs, "mix_id")
-    # equal ids have equal copies if their sources agree, so one row an (id, source) is enough
+    """The rows of ``docs`` as often as the mix takes them, all columns kept, whatever their names."""
+    n, h, origin, place = (free_name(docs, x) for x in ("mix copies", "mix hash", "mix source", "mix place"))
+    # copies depend on source and hash alone, so one row of each is enough
     plan = (mix(docs, doc_id, text, source).where("copies > 0")
-            .select(F.col("doc_id").alias(key), F.col("source").alias(key + "_s"), F.col("copies").alias(n)).distinct())
-    joined = docs.join(plan, F.col(doc_id).eqNullSafe(F.col(key))
-                       & F.col(source).cast("string").eqNullSafe(F.col(key + "_s")))
-    return (joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), n)).alias(key + "_n"))
-            .drop(key + "_n"))
+            .groupBy(F.col("source").alias(origin), F.col("h").alias(h)).agg(F.max("copies").alias(n)))
+    joined = docs.join(plan, F.col(f"`{source}`").cast("string").eqNullSafe(F.col(f"`{origin}`"))
+                       & (row_hash(F.col(f"`{doc_id}`"), F.col(f"`{text}`")) == F.col(f"`{h}`")))
+    every = joined.select(*[F.col(f"`{c}`") for c in docs.columns],
+                          F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"`{n}`"))).alias(place))
+    return every.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -92,7 +92,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_mix_sources", sql="""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size,
-         ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15))::bigint as h
+         ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, 15))::bigint as h
   from documents),
 s as (
   select source, sum(size)::bigint as source_size,
