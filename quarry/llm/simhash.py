@@ -133,13 +133,18 @@ def links_between(classes: DataFrame, most: int = 4) -> DataFrame:
 def labelled(docs: DataFrame, doc_id: str, text: str, shingle: int, most: int) -> tuple[DataFrame, DataFrame]:
     """A row a document (doc_id, text_hash, fp), and the component's node of each fingerprint (fp, c)."""
     key = "doc_id"
-    facts = written(with_fingerprints(docs.select(F.col(f"`{doc_id}`").alias(key), F.col(f"`{text}`").alias("t"),
+    named = F.col(f"`{doc_id}`")
+    if not isinstance(docs.schema[doc_id].dataType, (T.IntegralType, T.StringType)):
+        named = named.cast("string")
+    facts = written(with_fingerprints(docs.select(named.alias(key), F.col(f"`{text}`").alias("t"),
                                                   F.xxhash64(F.col(f"`{text}`")).alias("text_hash")), "t", [key, "text_hash"], shingle),
                     "simhash")
+    whole = isinstance(facts.schema[key].dataType, T.IntegralType)
+    other = F.col("fp") if whole else F.col("fp").cast("string")
     # a class is named by its smallest id; one without any comes behind all others and is named by its fingerprint;
     # the fingerprint is part of the node, so an id that repeats under unrelated texts joins nothing
     classes = written(facts.groupBy("fp").agg(F.min(key).alias("first")).select(
-        "fp", F.struct(F.col("first").isNull().alias("unnamed"), F.coalesce("first", "fp").alias("id"), "fp").alias("node")), "simhash")
+        "fp", F.struct(F.col("first").isNull().alias("unnamed"), F.coalesce("first", other).alias("id"), "fp").alias("node")), "simhash")
     found = connected_components(links_between(classes, most)).withColumnRenamed("node", "member")
     return facts, classes.join(found, classes.node == found.member, "left").select("fp", F.coalesce("component", "node").alias("c"))
 
@@ -150,7 +155,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Null and empty texts and texts without a word have fingerprint 0, which links like any other.  Repeated rows are
     equal fingerprints.  Null ids are kept, but never name a component that has another id.  An empty table gives no
-    rows.  Links of equal fingerprints and of fingerprints ``most`` or fewer bits apart are complete.
+    rows.  Ids that are neither whole numbers nor texts count as texts.  Links of equal fingerprints and of fingerprints ``most`` or fewer bits apart are complete.
     """
     facts, labels = labelled(docs, doc_id, text, shingle, most)
     labels = labels.select("fp", F.when(~F.col("c.unnamed"), F.col("c.id")).alias("component_id"))
@@ -170,7 +175,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     key, hashed, c, n = (free_name(docs, x) for x in ("kept_id", "kept_hash", "kept_c", "kept_n"))
     kept = held.join(total, "c").select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed), F.col("c").alias(c),
                                         F.col("rows").alias(n))
-    match = docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col(key)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(hashed)))
+    match = docs.join(kept, F.col(f"`{doc_id}`").cast(held.schema["doc_id"].dataType).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(hashed)))
     cols = [F.col(f"`{x}`") for x in docs.columns]
     single = match.where(F.col(n) == 1).select(*cols)
     # only rows of a component that has several are compared with each other, with map-side minima
