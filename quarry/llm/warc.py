@@ -20,6 +20,7 @@ from quarry.llm.common import shared_path, written
 CRLF = "\r\n"
 LEAST_REVISIT = 1000            # bytes from which an equal payload is not stored again
 FILE_BYTES = 32 << 20           # payload bytes in a file, about
+LARGE_PAGES = (1 << 20, 16 << 20)   # pages above these sizes have files of their own: of two pages, and of one
 SMALL_TABLE = 50_000            # duplicate groups up to which their table is broadcast
 EPOCH = "1970-01-01T00:00:00Z"  # the pages have no capture time
 
@@ -75,7 +76,10 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     groups = written(rows.where(F.col("bytes") >= least).groupBy("digest").agg(
         F.max(F.struct("page_id", "url")).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "warc")
     few = groups.count() <= SMALL_TABLE
-    total = rows.agg(F.avg("bytes")).first()[0] or 0
+    steps = [0, *LARGE_PAGES, 1 << 62]
+    within = [(F.col("bytes") <= hi) & (F.col("bytes") > lo if lo else F.lit(True)) for lo, hi in zip(steps, steps[1:])]
+    sizes = rows.agg(*[F.count_if(w).alias(f"n{i}") for i, w in enumerate(within)], F.avg(F.when(within[0], F.col("bytes"))).alias("mean")).first()
+    in_file = [int(FILE_BYTES // max(sizes["mean"] or 0, 1)), *[max(1, FILE_BYTES // hi) for hi in steps[2:]]]
     rows = rows.join(F.broadcast(groups) if few else groups, "digest", "left")
     is_first = F.struct("page_id", "url").eqNullSafe(F.col("first")) & (F.col("nth") == 1)
     revisit = F.col("first").isNotNull() & ~is_first
@@ -102,8 +106,10 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
                ("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")))),
         record("metadata", record_id("metadata", *me), told, ("WARC-Concurrent-To", capture),
                ("Content-Type", "application/warc-fields")))
-    (rows.select(F.explode(records).alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip")
-     .option("maxRecordsPerFile", 3 * max(1, int(FILE_BYTES // max(total, 1)))).text(path))
+    for i, pages_a_file in enumerate(in_file):
+        if i == 0 or sizes[f"n{i}"]:                     # large pages are a second pass only where there are some
+            (rows.where(within[i]).select(F.explode(records).alias("value")).write.mode("append").option("lineSep", CRLF * 2)
+             .option("compression", "gzip").option("maxRecordsPerFile", 3 * max(1, pages_a_file)).text(path))
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
