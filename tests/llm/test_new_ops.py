@@ -10,7 +10,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, conversation_trie, fim
+from quarry.llm import chat_format, conversation_trie, crf_langid, fim, mixing, quality_gbt, simhash, warc
+from quarry.llm.common import shared_path
 from quarry.llm.queries import LLM_QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -223,3 +224,78 @@ def test_chat_planted(spark):
     said = "".join(f"{who}\n{HARD}\n" for who in ("user", "assistant"))
     assert (r.n_turns, r.turns_sha256, r.loss_chars) == (2, hashlib.sha256(said.encode()).hexdigest(), len(HARD))
     assert r.loss_sha256 == hashlib.sha256(HARD.encode()).hexdigest()
+
+
+# mends of earlier operators ------------------------------------------------------------------------------------------
+
+def test_every_letter_of_a_long_word_counts():
+    assert crf_langid.WORD.findall("½ ² ⅷ x_y 12") == ["x", "y"]
+    rng = random.Random(2)
+    long = "".join(rng.choice("abcdefghij") for _ in range(500))
+    assert "".join(crf_langid.WORD.findall(long)) == long
+    docs = [(" ".join(rng.choice(["the", "house", "with", "green"]) for _ in range(40)), "en") for _ in range(30)]
+    docs += [("".join(rng.choice("日本語東京大学学生図書館") for _ in range(200)), "ja") for _ in range(30)]
+    field = crf_langid.train(docs)
+    middle = "the" * 4 + "日本語東京大学学生図書館" * 40 + "the" * 4
+    sizes, p, _ = field.words([middle, "東京大学図書館", "½ ²"])
+    assert sizes[0] > 10 and sizes[2] == 0
+    assert p[:sizes[0]].sum(axis=0).argmax() == field.labels.index("ja") and p[sizes[0]:].sum(axis=0).argmax() == field.labels.index("ja")
+
+
+def test_numerals_alone_are_undetermined(spark):
+    field = crf_langid.train([("the house", "en"), ("das haus", "de")] * 20)
+    rows = crf_langid.predict(spark.createDataFrame([("½ ² ③ ⅷ 12",), ("the",)], "text string"), field).collect()
+    assert [(r.lang_pred, r.score) for r in rows][0] == ("und", 0.0) and rows[1].lang_pred == "en"
+
+
+def test_mixing_splits_null_ids(spark):
+    """Many null ids of one source are taken one by one, so its words come near the target; clashing names do not crash."""
+    rows = [(None, f"word{i} " * 28, "a", 1, 2, 3) for i in range(50)] + [(i, "b c d", "b", 1, 2, 3) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int, mix_id_s int, `mix hash` int")
+    mixed = mixing.mix(docs).groupBy("source", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert all(abs(r.taken - r.target) <= 28 for r in mixed)
+    got = mixing.sample_documents(docs)
+    assert got.columns == docs.columns
+    taken = {r.source: r.taken for r in mixed}
+    assert got.where("source = 'a'").count() * 28 == taken["a"] and got.where("source = 'b'").count() * 3 == taken["b"]
+
+
+def test_simhash_takes_text_ids(spark):
+    same = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([("b7", same), ("a1", same), ("c", "other words " * 9), (None, same + " more")], "doc_id string, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert got["b7"] == got["a1"] == "a1" and got["c"] == "c"
+    assert {r.doc_id for r in simhash.one_of_each(docs).where("text = '" + same + "' or doc_id = 'c'").collect()} == {"a1", "c"}
+
+
+def test_large_pages_have_files_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE_PAGES", (1000, 5000))
+    monkeypatch.setattr(warc, "FILE_BYTES", 10_000)
+    rows = [(i, f"http://x/{i}", f"<p>{i}</p>" * n) for i, n in enumerate([1] * 300 + [150] * 9 + [2000] * 4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = shared_path(spark, "warc")
+    warc.write_archives(pages, path)
+    sizes = [f.length for f in spark.read.format("binaryFile").load(path).select("length").collect()]
+    held = spark.read.format("binaryFile").load(path).count()
+    assert held >= 4 + 4 and len(sizes) == held                     # four huge pages, nine large ones by two (five files)
+    got = {r.page: r.bytes for r in warc.round_trip(pages).select(F.col("metadata")["page-id"].alias("page"), F.col("capture.payload_bytes").alias("bytes")).collect()}
+    assert got == {str(i): len(h) for i, _, h in rows}
+    assert warc.round_trip(pages.where("false")).count() == 0
+
+
+def test_quality_on_labels_outside_the_sample(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality_gbt.judge(docs, labels.where("doc_id % 2 = 0"))
+    rows = judged.join(labels.where("doc_id % 2 = 1").select("doc_id", "quality"), "doc_id").where("not base_failed").groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept"), F.count(F.lit(1)).alias("n")).collect()
+    share = {r.quality: (r.kept, r.n) for r in rows}
+    print("kept, of labelled documents outside the sample:", share)
+    assert share[1][0] >= 0.98 and share[0][0] <= 0.1 and share[0][1] >= 20
+
+
+@pytest.mark.parametrize("name", ["op6_mix_sources", "op13_chat_format", "op9_simhash", "op12_conversation_trie"])
+def test_plans(spark, name):
+    plan = LLM_QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("CartesianProduct|BroadcastNestedLoop", plan)
+    if name in ("op6_mix_sources", "op13_chat_format"):
+        assert not re.search("Python|Pandas|Arrow", plan)
