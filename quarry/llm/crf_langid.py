@@ -31,9 +31,7 @@ SEGMENT = 20               # mean words of a segment
 HASH_BITS = 17             # hashed feature weights a language
 WIDTH = 24                 # characters of a place of the chain; a longer run of letters takes several places
 UNKNOWN = "und"
-# numerals such as one half, superscript two or Roman eight count as word characters of a pattern, but are no letters
-NUMERALS = "".join(c for c in map(chr, range(0x20000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{NUMERALS}]{{1,{WIDTH}}}")
+RUN = re.compile(r"[^\W\d_]+")     # letters, and numerals such as one half, superscript two or Roman eight
 
 
 def split_rule(doc_id: Column) -> Column:
@@ -41,6 +39,16 @@ def split_rule(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def words_in(text: str | None) -> list[str]:
+    """The words of a text in lower case: runs of letters, cut where they are longer than ``WIDTH``."""
+    found = RUN.findall(text.lower()) if text else []
+    if not all(map(str.isalpha, found)):
+        found = [x for w in found for x in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
+    if found and max(map(len, found)) > WIDTH:
+        found = [w[i:i + WIDTH] for w in found for i in range(0, len(w), WIDTH)]
+    return found
+
+
 def word_features(words: list[str]) -> np.ndarray:
     """Feature numbers of each word (one row; unused places have number 0)."""
     c = np.array(words, dtype=f"<U{WIDTH}").view(np.uint32).reshape(len(words), WIDTH)
@@ -150,7 +158,7 @@ class Field:
 
     def words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of some texts: the number of words, each word's probabilities, and the place of each text's first word."""
-        found = [WORD.findall(t.lower()) if t else [] for t in texts]
+        found = [words_in(t) for t in texts]
         sizes = np.array([len(w) for w in found], np.int64)
         total = int(sizes.sum())
         if total == 0:
@@ -169,7 +177,7 @@ def train(docs: list[tuple[str, str]], seed: int = 1, rounds: int = 40, rate: fl
     if not labels:
         return None
     k, rng = len(labels), np.random.Generator(np.random.PCG64(seed))
-    split = [(WORD.findall(t.lower()), labels.index(lang)) for t, lang in docs]
+    split = [(words_in(t), labels.index(lang)) for t, lang in docs]
     split = [(w, y) for w, y in split if w]
     if not split:
         return None

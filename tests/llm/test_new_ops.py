@@ -229,10 +229,10 @@ def test_chat_planted(spark):
 # mends of earlier operators ------------------------------------------------------------------------------------------
 
 def test_every_letter_of_a_long_word_counts():
-    assert crf_langid.WORD.findall("½ ² ⅷ x_y 12") == ["x", "y"]
+    assert crf_langid.words_in("½ ² Ⅷ x_Y 12 a½b") == ["x", "y", "a", "b"] and crf_langid.words_in(None) == []
     rng = random.Random(2)
     long = "".join(rng.choice("abcdefghij") for _ in range(500))
-    assert "".join(crf_langid.WORD.findall(long)) == long
+    assert "".join(crf_langid.words_in(long)) == long and max(map(len, crf_langid.words_in(long + " short"))) == crf_langid.WIDTH
     docs = [(" ".join(rng.choice(["the", "house", "with", "green"]) for _ in range(40)), "en") for _ in range(30)]
     docs += [("".join(rng.choice("日本語東京大学学生図書館") for _ in range(200)), "ja") for _ in range(30)]
     field = crf_langid.train(docs)
