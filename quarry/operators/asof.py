@@ -26,7 +26,7 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ranges import HotCuts, same
+from quarry.operators.ranges import HotCuts, same, wanted
 
 BucketFn = Callable[[Column], Column]
 
@@ -69,7 +69,7 @@ def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd, cu
     rpay = [c for c in right.columns if c not in keys]
     L = (left.select(*kcols, F.col(left_on).alias("__t"), F.struct(*left.columns).alias("__L"))
          .withColumn("__b", bucket(F.col("__t"))))
-    L = cuts.assign(L)
+    L = cuts.assign(L) if cuts else L
     # one right row per (key, time): ties resolve to the largest payload in
     # both directions, so collapsing them first is exact and shrinks hot keys
     # map-side (partial aggregation) before any sort.
@@ -77,7 +77,7 @@ def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd, cu
          .select(*kcols, F.col(right_on).alias("__t"), F.struct(*rpay).alias("__R"))
          .groupBy(*knames, "__t").agg(F.max("__R").alias("__R"))
          .withColumn("__b", bucket(F.col("__t"))))
-    R = cuts.assign(R)
+    R = cuts.assign(R) if cuts else R
     parts = [L.withColumn("__phase", F.lit(1)).withColumn("__side", F.lit(1)),
              R.withColumn("__phase", F.lit(1)).withColumn("__side", F.lit(0))]
     if back:
@@ -125,7 +125,9 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         raise ValueError(f"unknown direction {direction}")
     rpay = [c for c in right.columns if c not in by]
     by = list(by)
-    cuts = HotCuts(_sides(left, right, left_on, right_on, by, bucket), [f"__k{i}" for i in range(len(by))], ["__t"], limit)
+    cuts = None
+    if wanted([left, right], limit):
+        cuts = HotCuts(_sides(left, right, left_on, right_on, by, bucket), [f"__k{i}" for i in range(len(by))], ["__t"], limit)
     if not cuts:
         return _asof(left, right, left_on, right_on, by, strict, tolerance, direction, bucket, cuts)
     instants = [*by, left_on]

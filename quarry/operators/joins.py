@@ -76,7 +76,8 @@ def except_all(a: DataFrame, b: DataFrame) -> DataFrame:
                .groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.sum("__n").alias("__n")).where("__n > 0"))
     dealt = counted.withColumn("__at", F.explode(F.expr(f"sequence(0L, (__n - 1) div {COPIES})"))) \
         .withColumn("__n", F.least(F.lit(COPIES), F.col("__n") - F.col("__at") * COPIES))
-    spread = dealt.repartition(*[F.col(f"`{c}`") for c in cols], "__at")
+    # a stated number, since small rows that are about to grow would be put together again
+    spread = dealt.repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return spread.select(*[F.col(f"`{c}`") for c in cols], F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))).alias("__i")).drop("__i")
 
 

@@ -17,12 +17,13 @@ from pyspark.sql import types as T
 
 from quarry.sources import scratch_dir
 
-SAMPLE = 8192                       # keys drawn for the cuts
+SAMPLE, SMALL_SAMPLE = 65_536, 1024  # keys drawn for the cuts, of large and of small files
 ROWS_A_RANGE = 50_000               # aim; twice that is rarely passed (the cuts are sampled)
-FEWEST, MOST = 16, 2048             # ranges
-SPLIT = 4096                        # numbers kept free for the parts of one key
+FEWEST, MOST = 16, 8192             # ranges; beyond 400 million rows they grow, as a task can sort far more with spilling
+SPLIT = 1 << 14                     # numbers kept free for the parts of one key
 HOT_ROWS = 1_000_000                # rows a bucket may hold
-SMALL_FILES = 64 << 20              # below this many bytes of input no bucket is looked for
+HOT_SAMPLE, HOT_PIECES = 8192, 1024  # rows drawn of a hot bucket, on average, and pieces at most
+SMALL_FILES = 64 << 20              # up to this many bytes of input no bucket is looked for
 
 _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -116,7 +117,7 @@ class Ranges:
         seen = Observation("rows")
         keys = df.select(order_key(df, order).alias("k")).observe(seen, F.count(F.lit(1)).alias("n"))
         self.type = keys.schema["k"].dataType
-        size = SAMPLE if (many or MOST) > SAMPLE // 16 and leaf_bytes(df) > SMALL_FILES else SAMPLE // 8
+        size = SAMPLE if (many or MOST) > SMALL_SAMPLE // 16 and leaf_bytes(df) > SMALL_FILES else SMALL_SAMPLE
         drawn = sorted((r.k for r in keys.orderBy(F.rand(17)).limit(size).collect()), key=_place)
         self.rows = seen.get["n"]
         many = many or min(MOST, max(FEWEST, -(-self.rows // rows)))
@@ -144,16 +145,21 @@ class Ranges:
         return F.when(own, (at.cast("long") * 2 + 1) * SPLIT + part).otherwise(at.cast("long") * 2 * SPLIT)
 
 
+def wanted(frames: Sequence[DataFrame], limit: int | None) -> bool:
+    """Whether hot buckets are to be looked for."""
+    return limit is not None or leaf_bytes(*frames) > SMALL_FILES
+
+
 class HotCuts:
     """Cuts of the (key, bucket) groups that hold more than ``limit`` rows over all ``frames``.
 
     Every frame has the columns ``keys``, ``__b`` (bucket) and ``order``.  Counting is one partial aggregate; it is left
-    out where the input files are below ``SMALL_FILES`` and no ``limit`` is given.  Of each hot group ``SAMPLE`` rows at
-    most (on average) give its cuts.  :meth:`assign` replaces ``__b`` by (bucket, piece); rows of one sort key share a piece."""
+    out where the input files have up to ``SMALL_FILES`` bytes and no ``limit`` is given.  Of each hot group
+    ``HOT_SAMPLE`` rows on average give its cuts.  :meth:`assign` replaces ``__b`` by (bucket, piece); rows of one sort key share a piece."""
 
     def __init__(self, frames: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str], limit: int | None = None):
         self.keys, self.order, self.cuts = list(keys), list(order), None
-        if limit is None and leaf_bytes(*frames) <= SMALL_FILES:
+        if not wanted(frames, limit):
             return
         limit = limit or HOT_ROWS
         group = [*self.keys, "__b"]
@@ -163,9 +169,9 @@ class HotCuts:
             return
         other = hot.withColumnsRenamed({c: f"{c}_h" for c in group})
         names = [f"{c}_h" for c in group]
-        drawn = (rows.join(other, same(group, names)).where(F.rand(29) * F.col("__n") < SAMPLE)
+        drawn = (rows.join(other, same(group, names)).where(F.rand(29) * F.col("__n") < HOT_SAMPLE)
                  .groupBy(*names, "__n").agg(F.sort_array(F.collect_list("__o")).alias("s")))
-        many = F.least(F.lit(MOST), F.ceil(F.col("__n") / limit)).cast("int")
+        many = F.least(F.lit(HOT_PIECES), F.ceil(F.col("__n") / limit)).cast("int")
         place = F.transform(F.sequence(F.lit(1), F.greatest(many - 1, F.lit(1))), lambda i: F.get("s", F.floor(F.size("s") * i / many).cast("int")))
         self.cuts = kept(drawn.select(*names, F.array_distinct(place).alias("__cuts")), "hot_cuts")
 
@@ -177,5 +183,5 @@ class HotCuts:
             return df
         group = [*self.keys, "__b"]
         j = df.join(self.cuts, same(group, [f"{c}_h" for c in group]), "left")
-        piece = F.coalesce(bisect(F.col("__cuts"), F.struct(*self.order), MOST), F.lit(0))
+        piece = F.coalesce(bisect(F.col("__cuts"), F.struct(*self.order), HOT_PIECES), F.lit(0))
         return j.select(*[F.col(f"`{c}`") for c in df.columns if c != "__b"], F.struct(F.col("__b").alias("bucket"), piece.alias("piece")).alias("__b"))

@@ -16,20 +16,46 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[s
     """Exact linear-interpolation quantiles (numpy's default, SQL
     ``percentile_cont``), one row (per group) with one column per name in ``probs``.
 
-    Input files of at most ``small`` bytes: a group's values are sorted in one row, which the files bound.  Beyond that
-    no task holds a group: see :func:`ranged_quantiles`.  NULL values do not count; a NULL group is a group, and a
-    group (or table) without values has NULL quantiles.
+    Input files of at most ``small`` bytes: equal values become one row with a count, and a task sorts the distinct
+    values of a group, whose number the files bound.  Beyond that no task holds a group: see
+    :func:`ranged_quantiles`.  NULL values do not count; a NULL group is a group, and a group (or table) without
+    values has NULL quantiles.
     """
     if leaf_bytes(df) > small:
         return ranged_quantiles(df, value, probs, by)
-    values = F.sort_array(F.collect_list(value)).alias("__s")
-    rows = df.groupBy(*by).agg(values) if by else df.agg(values)
+    keys, v = _values(df, value, by)
+    # values without a number count 0, so their group stays
+    counted = v.groupBy(*keys, "__v").agg(F.count("__v").alias("__c"))
+    group = Window.partitionBy(*keys)
+    placed = counted.select("*", F.sum("__c").over(group).alias("__n"),
+                            F.sum("__c").over(group.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)).alias("__end"))
+    found = _picked(probs) + [F.max("__n").alias("__n")]
+    rows = placed.groupBy(*keys).agg(*found) if by else placed.agg(*found)
+    return rows.select(*[F.col(k).alias(c) for c, k in zip(by, keys)], *_between(probs))
 
-    def between(p: float) -> Column:
-        low, high, part = _wanted(F.size("__s"), p)
-        lo, hi = (F.get("__s", (rank - 1).cast("int")) for rank in (low, high))
-        return F.when(F.size("__s") > 0, lo + part * (hi - lo))
-    return rows.select(*by, *[between(p).alias(name) for name, p in probs.items()])
+
+def _values(df: DataFrame, value: str, by: Sequence[str]) -> tuple[list[str], DataFrame]:
+    keys = [f"__k{i}" for i in range(len(by))] or ["__all"]
+    return keys, df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], *([] if by else [F.lit(0).alias("__all")]), F.col(value).alias("__v"))
+
+
+def _picked(probs: dict[str, float]) -> list[Column]:
+    """Of counted values (__v, __c copies that end at rank __end of __n) the two neighbours of each position."""
+    found = []
+    for i, p in enumerate(probs.values()):
+        low, high, _ = _wanted(F.col("__n"), p)
+        for side, rank in (("lo", low), ("hi", high)):
+            inside = (rank <= F.col("__end")) & (rank > F.col("__end") - F.col("__c"))
+            found.append(F.max(F.when(inside, F.col("__v"))).alias(f"__{side}{i}"))
+    return found
+
+
+def _between(probs: dict[str, float]) -> list[Column]:
+    out = []
+    for i, (name, p) in enumerate(probs.items()):
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        out.append((lo + _wanted(F.col("__n"), p)[2] * (hi - lo)).alias(name))
+    return out
 
 
 def _wanted(n: Column, p: float) -> tuple[Column, Column, Column]:
@@ -44,8 +70,7 @@ def ranged_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Seq
     aggregate, kept as a table), a second pass counts the ranges map-side, and only the rows of the ranges that hold a
     wanted rank are shuffled, equal values as one row with a count, and sorted -- so neither a hot group nor a hot
     value is one task's work."""
-    keys = [f"__k{i}" for i in range(len(by))] or ["__all"]
-    v = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], *([] if by else [F.lit(0).alias("__all")]), F.col(value).alias("__v"))
+    keys, v = _values(df, value, by)
     x = F.col("__v")
     groups = kept(v.groupBy(*keys).agg(F.count(x).alias("__n"), F.array_distinct(F.percentile_approx(
         x, [i / CUTS for i in range(1, CUTS)], 10 * CUTS)).alias("__cuts")), "quantile_cuts")
@@ -67,18 +92,10 @@ def ranged_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Seq
     counted = joined(ranged, hits, [*keys, "__b"]).groupBy(*keys, "__n", "__b", "__off", "__v").agg(F.count(F.lit(1)).alias("__c"))
     upto = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     placed = counted.withColumn("__end", F.col("__off") + F.sum("__c").over(upto))
-    found, out = [], []
-    for i, (name, p) in enumerate(probs.items()):
-        low, high, part = _wanted(F.col("__n"), p)
-        for side, rank in (("lo", low), ("hi", high)):
-            inside = (rank <= F.col("__end")) & (rank > F.col("__end") - F.col("__c"))
-            found.append(F.max(F.when(inside, x)).alias(f"__{side}{i}"))
-        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        out.append((lo + part * (hi - lo)).alias(name))
-    ends = placed.groupBy(*keys).agg(*found)
+    ends = placed.groupBy(*keys).agg(*_picked(probs))
     # an empty table has no group, but its quantiles over all are one row of NULLs
     every = groups.drop("__cuts") if by else groups.agg(F.lit(0).alias("__all"), F.coalesce(F.sum("__n"), F.lit(0)).alias("__n"))
-    return joined(every, ends, keys, "left").select(*[F.col(k).alias(c) for c, k in zip(by, keys)], *out)
+    return joined(every, ends, keys, "left").select(*[F.col(k).alias(c) for c, k in zip(by, keys)], *_between(probs))
 
 
 def welch(mean_a: Column, var_a: Column, n_a: Column, mean_b: Column, var_b: Column, n_b: Column):
