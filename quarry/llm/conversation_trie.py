@@ -171,12 +171,13 @@ def swept(containers: DataFrame) -> DataFrame:
     return containers.select(*names).repartition("cid").sortWithinPartitions("cid", "seq").mapInArrow(run, NODE)
 
 
-def burst(containers: DataFrame, most: int) -> tuple[DataFrame, list[DataFrame]]:
-    """The containers left (rows of sequences) and a table of the containers that burst for each round.
+def burst(containers: DataFrame, most: int) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
+    """The containers left (rows of sequences), a table of the containers that burst for each round, and the tables that
+    the first is read from.
 
     A burst container: cid, depth (of its own node), deep (turns that its sequences share), up, heads, conv, n, lo (its
     smallest sequence)."""
-    done, bursts = [], []
+    done, bursts, made = [], [], [containers]
     while True:
         lo, hi = F.col("lo"), F.col("hi")
         # two sequences differ first at the place behind their common turns, or where the shorter one ends
@@ -191,7 +192,7 @@ def burst(containers: DataFrame, most: int) -> tuple[DataFrame, list[DataFrame]]
             .select("cid", "depth", "deep", "up", "heads", "conv", "n", "lo"), "bursts")
         if big.isEmpty():
             forget(big)
-            return reduce(DataFrame.unionByName, [*done, containers]), bursts
+            return reduce(DataFrame.unionByName, [*done, containers]), bursts, made
         bursts.append(big)
         done.append(containers.join(big.select("cid"), "cid", "left_anti"))
         # the sequence that ends where the common prefix ends belongs to the head itself
@@ -200,6 +201,7 @@ def burst(containers: DataFrame, most: int) -> tuple[DataFrame, list[DataFrame]]
         containers = written(dealt.select(
             path_id(F.col("seq"), F.col("deep") + 1).alias("cid"), (F.col("deep") + 1).alias("depth"), F.col("first").alias("up"),
             F.array_append("heads", F.col("cid")).alias("heads"), "seq", "conv", "n", "ends"), "containers")
+        made.append(containers)
 
 
 def head_nodes(bursts: list[DataFrame], tops: DataFrame, ends: DataFrame) -> DataFrame:
@@ -243,14 +245,18 @@ def prefix_trie(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", rol
     """
     raw = written(sequences(df, conv_id, turn, role, text), "sequences")
     convs = written(rebuilt(raw).withColumn("key", path_id(F.col("seq"))), "rebuilt")
+    forget(raw)
     ends = written(id_digests(convs.select("key", "conv_id")), "ends")
     # equal conversations once, by the smallest of their ids
     distinct = ends.join(convs.select(F.col("conv_id").alias("conv"), "seq"), "conv")
     start = written(distinct.select(
         F.lit("").alias("cid"), F.lit(0).alias("depth"), F.lit(None).cast("long").alias("up"),
         F.array().cast("array<string>").alias("heads"), "seq", "conv", "n", "ends"), "containers")
-    left, bursts = burst(start, most)
+    forget(convs)
+    left, bursts, made = burst(start, most)
     nodes = written(swept(left), "nodes")
+    for table in made:
+        forget(table)
     plain = nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
                          F.col("ends").alias("ends_sha256"))
     return plain.unionByName(head_nodes(bursts, nodes.where("top"), ends)) if bursts else plain
