@@ -1,5 +1,6 @@
 """The training-data operators against brute force, exact round trips and edge rows."""
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -527,6 +528,42 @@ def test_embeddings_edge(spark):
     assert embed_dedup.near_vectors(df.where("false")).count() == 0
 
 
+def test_pairs_at_the_limit_in_64_dimensions(spark):
+    rng = np.random.default_rng(10)
+    base = rng.standard_normal((1500, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    away = rng.standard_normal(base.shape)
+    away -= (away * base).sum(axis=1, keepdims=True) * base
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    x = np.concatenate([base, 0.901 * base + math.sqrt(1 - 0.901 ** 2) * away, rng.standard_normal((3000, 64))])
+    df = spark.createDataFrame([(f"v{i:04}", v.tolist()) for i, v in enumerate(x)], "vec_id string, embedding array<double>")
+    got = embed_dedup.near_vectors(df).toPandas().sort_values("vec_id")
+    links, comp = near_by_brute_force(x)
+    assert links.sum() >= 3000 and (got.n_links.to_numpy() <= links).all() and got.n_links.sum() >= 0.99 * links.sum()
+    found = got.n_links.to_numpy() == links
+    assert (got.component_id.to_numpy()[found] == np.array([f"v{c:04}" for c in comp])[found]).all()
+
+
+def test_window_hits():
+    rng = np.random.default_rng(11)
+    p = rng.integers(-127, 128, (70, embed_dedup.LINES)).astype(np.int8)
+    p[5] = p[6]
+    gap = np.abs(p[:, None, :].astype(int) - p[None, :, :])
+    for half in (0, 1, 30, 300):
+        assert (embed_dedup.window_hits(p, half) == (gap <= half).sum(axis=2)).all()
+
+
+def test_dealt_vectors_stay_behind(spark):
+    classes = spark.createDataFrame([(False, i, 1, [float(i), 1.0, 0.5]) for i in range(40)],
+                                    "unnamed boolean, id long, copies long, vec array<double>")
+    plan = embed_dedup.calibrate(40, 0.9, 0.999)
+    rows = embed_dedup.deal(classes, plan, ("unnamed", "id")).collect()
+    assert len(rows) == 40 * plan.tables and {len(r.code) for r in rows} == {embed_dedup.LINES}
+    assert rows[0].asDict().keys() == {"dims", "table_no", "bucket", "unnamed", "id", "code"}
+    keys = embed_dedup.deal(classes, plan, ()).collect()
+    assert sorted((r.table_no, r.bucket) for r in keys) == sorted((r.table_no, r.bucket) for r in rows)
+
+
 # pipeline ------------------------------------------------------------------------------------------------------------
 
 def test_pipeline(spark, small):
