@@ -147,6 +147,25 @@ def test_passages_beside_a_shared_notice(spark):
     assert got == set(pairs)
 
 
+def test_recall_of_edited_passages(spark):
+    rng, word = random.Random(9), iter(range(10**7))
+
+    def prose(n):
+        return [f"w{next(word)}" for _ in range(n)]
+    docs = []
+    for _ in range(200):
+        text = prose(rng.randint(60, 300))
+        other = list(text)
+        for at in sorted(rng.sample(range(5, len(text) - 5), len(text) // 60), reverse=True):   # a change in 60 words: 0.8 and more
+            how = rng.randrange(3)
+            other[at:at + (how != 0)] = prose(how != 1)                    # put in, taken out, replaced
+        docs += [prose(rng.randint(0, 200)) + t + prose(rng.randint(0, 200)) for t in (text, other)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    got = {tuple(sorted((r.doc_id, r.other_doc_id))) for r in compact_windows.repeated_passages(df).collect()}
+    want = {(i, i + 1) for i in range(0, len(docs), 2)}
+    assert got <= want and len(got) >= 0.98 * len(want)
+
+
 def edited(words, places):
     return [f"{w}x" if i in places else w for i, w in enumerate(words)]
 
