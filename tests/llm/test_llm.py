@@ -147,6 +147,31 @@ def test_passages_beside_a_shared_notice(spark):
     assert got == set(pairs)
 
 
+def test_all_links_of_a_group_of_passages(spark):
+    rng = random.Random(11)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared = prose(60)
+    docs = [prose(40) + shared + prose(40) for _ in range(12)]             # different texts with one passage
+    rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    rows += [(100 + i, rows[3][1]) for i in range(30)]                     # copies of one of them
+    rows += [(200 + i, " ".join(shared[:20])) for i in range(3)]           # copies too short for a passage
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [tuple(sorted((r.doc_id, r.other_doc_id))) for r in compact_windows.repeated_passages(df).collect()]
+    want = {(i, j) for i in range(12) for j in range(i + 1, 12)} | {(3, 100 + i) for i in range(30)}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_pairs_of_large_groups_are_dealt_to_cells(spark, monkeypatch):
+    monkeypatch.setattr(compact_windows, "CELL", 7)
+    monkeypatch.setattr(compact_windows, "BUCKET", 5)
+    rows = [(k, d) for k in (1, 2) for d in range(50)] + [(3, 7), (3, 60), (3, 60), (4, 61)]
+    pairs = compact_windows.sharing_pairs(spark.createDataFrame(rows, "key long, doc long"))
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == {(i, j) for i in range(50) for j in range(i)} | {(60, 7)}
+
+
 def test_recall_of_edited_passages(spark):
     rng, word = random.Random(9), iter(range(10**7))
 
