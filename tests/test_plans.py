@@ -52,3 +52,10 @@ def test_global_rank_has_no_unbounded_single_partition_window(spark):
     # range bucket, or one row in all), never on the rows themselves
     for i in singles:
         assert "Aggregate" in lines[i + 1], lines[i:i + 2]
+
+
+def test_sketches_are_kept_per_status_only(spark):
+    # beside countDistinct the plan had a sketch of 13 KB for every (status, customer)
+    p = plan(REG["agg_count_distinct_error"].fn(Tables(spark, "/root/testdata/sf0.001")))
+    sketches = [line for line in p.splitlines() if "approx_count_distinct" in line or "hyperloglog" in line.lower()]
+    assert sketches and not [line for line in sketches if "keys=[o_orderstatus" in line and "o_custkey" in line.split("functions=")[0]]
