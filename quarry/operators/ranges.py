@@ -106,7 +106,7 @@ def _literal(key: Row, kind: T.StructType) -> str:
 
 
 class Ranges:
-    """Ranges of ``df`` by ``order`` (column, ascending); one pass draws the sample and counts the rows.
+    """Ranges of ``df`` by ``order`` (column, ascending); a sample of the rows is drawn, and they are counted.
 
     A range holds about ``rows`` rows, unless their number ``many`` is given.  Rows of one whole sort key share a range, unless ``split`` is set: then a key
     that fills several cuts has a range of its own, dealt by a hash of the row to as many parts as it fills cuts (rows
@@ -114,12 +114,17 @@ class Ranges:
 
     def __init__(self, df: DataFrame, order: Sequence[tuple[str, bool]], rows: int = ROWS_A_RANGE, many: int | None = None, split: bool = True):
         self.order, self.columns, self.split = list(order), df.columns, split
-        seen = Observation("rows")
-        keys = df.select(order_key(df, order).alias("k")).observe(seen, F.count(F.lit(1)).alias("n"))
+        keys = df.select(order_key(df, order).alias("k"))
         self.type = keys.schema["k"].dataType
-        size = SAMPLE if (many or MOST) > SMALL_SAMPLE // 16 and leaf_bytes(df) > SMALL_FILES else SMALL_SAMPLE
-        drawn = sorted((r.k for r in keys.orderBy(F.rand(17)).limit(size).collect()), key=_place)
-        self.rows = seen.get["n"]
+        if leaf_bytes(df) > SMALL_FILES:    # a limit would bring a full sample from every task to the driver
+            self.rows = df.count()
+            size = SAMPLE if (many or MOST) > SMALL_SAMPLE // 16 else SMALL_SAMPLE
+            drawn = keys.where(F.rand(17) * self.rows < size).collect()
+        else:
+            seen = Observation("rows")
+            drawn = keys.observe(seen, F.count(F.lit(1)).alias("n")).orderBy(F.rand(17)).limit(SMALL_SAMPLE).collect()
+            self.rows = seen.get["n"]
+        drawn = sorted((r.k for r in drawn), key=_place)
         many = many or min(MOST, max(FEWEST, -(-self.rows // rows)))
         cuts = [drawn[len(drawn) * i // many] for i in range(1, many)] if drawn else []
         self.cuts, self.parts = [], []

@@ -171,3 +171,22 @@ def test_quantiles_shuffle_only_hit_ranges(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     # the rows meet the hit ranges by a broadcast join below the only exchange of rows, which is a partial aggregate's
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and "CartesianProduct" not in p
+
+
+def test_sample_of_large_files_is_not_sent_by_every_task(spark, monkeypatch):
+    monkeypatch.setattr(R, "SMALL_FILES", 0)
+    monkeypatch.setattr(R, "SAMPLE", 500)
+    df = spark.range(0, 40_000, 1, 40).selectExpr("id * 7919 % 40000 as v")
+    taken = []
+    collect = type(df).collect
+
+    def watched(self):
+        taken.append(self._jdf.queryExecution().executedPlan().toString())
+        return collect(self)
+    monkeypatch.setattr(type(df), "collect", watched)
+    cut = R.Ranges(df, [("v", True)], rows=1000)
+    monkeypatch.undo()
+    assert taken and not [p for p in taken if "TakeOrderedAndProject" in p]
+    assert cut.rows == 40_000 and len(cut.cuts) == 39
+    sizes = [r["count"] for r in df.groupBy(cut.number(df).alias("b")).count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 4_000
