@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 _INT_TYPES = [("tinyint", -2**7, 2**7 - 1), ("smallint", -2**15, 2**15 - 1),
               ("int", -2**31, 2**31 - 1), ("bigint", -2**63, 2**63 - 1)]
+FEW_VALUES = 100_000     # values of a dictionary that is broadcast
 _FLOAT_MAX = 3.4028234663852886e38
 
 
@@ -39,16 +40,24 @@ def downcast(df: DataFrame, lossy: bool = False) -> DataFrame:
 def dictionary(df: DataFrame, col: str) -> DataFrame:
     """The categories of a column: (category, code), codes 0, 1, ... in the order of the values; NULL is no category.
 
-    The distinct values are numbered by ranges, so a column of many values is no one task's work."""
+    The distinct values are numbered by ranges, so a column of many values is no one task's work.  The dictionary is a
+    written table, so that its readers do not find the values again."""
+    from quarry.operators.ranges import kept
     from quarry.operators.windows import global_row_number
     values = df.select(F.col(f"`{col}`").alias("category")).where(F.col("category").isNotNull()).distinct()
-    return global_row_number(values, [("category", True)], "__n").select("category", (F.col("__n") - 1).alias("code"))
+    return kept(global_row_number(values, [("category", True)], "__n").select("category", (F.col("__n") - 1).alias("code")), "dictionary")
+
+
+def _sent(categories: DataFrame) -> DataFrame:
+    """A dictionary of up to ``FEW_VALUES`` values goes to every task, so that rows are not gathered by few values."""
+    return F.broadcast(categories) if categories.limit(FEW_VALUES + 1).count() <= FEW_VALUES else categories
 
 
 def encode(df: DataFrame, col: str, categories: DataFrame, code: str | None = None) -> DataFrame:
     """``df`` with the column ``code`` (default: in place of ``col``): the code of the value, -1 for NULL or a value that
-    ``categories`` (see :func:`dictionary`) does not have.  A common value is no hot task: AQE splits the join."""
-    found = categories.select(F.col("category").alias("__cat"), F.col("code").alias("__code"))
+    ``categories`` (see :func:`dictionary`) does not have.  A dictionary of few values is broadcast; with many, a common
+    value is no hot task: AQE splits the join."""
+    found = _sent(categories).select(F.col("category").alias("__cat"), F.col("code").alias("__code"))
     j = df.join(found, F.col(f"`{col}`") == F.col("__cat"), "left")
     value = F.coalesce("__code", F.lit(-1))
     if code:
@@ -58,7 +67,7 @@ def encode(df: DataFrame, col: str, categories: DataFrame, code: str | None = No
 
 def decode(df: DataFrame, code: str, categories: DataFrame, col: str) -> DataFrame:
     """``df`` with the column ``col``: the value of the code, NULL for -1."""
-    found = categories.select(F.col("code").alias("__code"), F.col("category").alias("__cat"))
+    found = _sent(categories).select(F.col("code").alias("__code"), F.col("category").alias("__cat"))
     return df.join(found, F.col(f"`{code}`") == F.col("__code"), "left").select(
         *[F.col(f"`{c}`") for c in df.columns if c != col], F.col("__cat").alias(col))
 

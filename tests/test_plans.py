@@ -59,3 +59,10 @@ def test_sketches_are_kept_per_status_only(spark):
     p = plan(REG["agg_count_distinct_error"].fn(Tables(spark, "/root/testdata/sf0.001")))
     sketches = [line for line in p.splitlines() if "approx_count_distinct" in line or "hyperloglog" in line.lower()]
     assert sketches and not [line for line in sketches if "keys=[o_orderstatus" in line and "o_custkey" in line.split("functions=")[0]]
+
+
+def test_rows_are_not_gathered_by_category(spark):
+    # three flags in all: a join on the flag gave a task a third of the rows
+    for key, col in (("downcast_numeric", "l_returnflag"), ("category_codes", "o_orderpriority")):
+        p = plan(REG[key].fn(Tables(spark, "/root/testdata/sf0.001")))
+        assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and f"hashpartitioning({col}" not in p, p
