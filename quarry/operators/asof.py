@@ -26,8 +26,10 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ranges import HotCuts, same, wanted
+from quarry.operators import ranges
+from quarry.operators.ranges import HotCuts, leaf_bytes, same, wanted
 
+FILE_BYTES_A_TASK, MOST_TASKS = 1 << 20, 8192   # of input files; sorted rows may take a hundred times their files
 BucketFn = Callable[[Column], Column]
 
 
@@ -87,6 +89,10 @@ def _asof_core(left, right, left_on, right_on, by, strict, bucket, back, fwd, cu
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p, allowMissingColumns=True)
+    size = leaf_bytes(left, right)
+    if size > ranges.SMALL_FILES:   # tasks follow the data: merged by compressed size, they would sort gigabytes each
+        tasks = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, size // FILE_BYTES_A_TASK))
+        rows = rows.repartition(tasks, *knames, "__b")
     is_right = F.col("__side") == 0
     # right rows are unique per (key, time) after the pre-aggregation, so
     # (phase, time, side) is a total order for the rows that matter.

@@ -25,6 +25,8 @@ HOT_ROWS = 1_000_000                # rows a bucket may hold
 HOT_SAMPLE, HOT_PIECES = 8192, 1024  # rows drawn of a hot bucket, on average, and pieces at most
 SMALL_FILES = 64 << 20              # up to this many bytes of input no bucket is looked for
 
+SPREAD_FILES = 16 << 20             # up to this many bytes of input rows are not spread
+
 _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -44,6 +46,15 @@ def leaf_bytes(*frames: DataFrame) -> int:
     return total
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to as many tasks as its files have MB, so that what a task sorts does not grow with the
+    data; small files are left as they are.  Tasks merged by compressed size may sort gigabytes each."""
+    size = leaf_bytes(df)
+    if size <= SPREAD_FILES:
+        return df
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST, size >> 20)), *keys)
+
+
 def same(left: Sequence[str], right: Sequence[str]) -> Column:
     """Null-safe equality, column by column."""
     return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])

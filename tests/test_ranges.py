@@ -190,3 +190,31 @@ def test_sample_of_large_files_is_not_sent_by_every_task(spark, monkeypatch):
     assert cut.rows == 40_000 and len(cut.cuts) == 39
     sizes = [r["count"] for r in df.groupBy(cut.number(df).alias("b")).count().collect()]
     assert sum(sizes) == 40_000 and max(sizes) < 4_000
+
+
+def test_asof_tasks_follow_the_files(spark, tmp_path, monkeypatch):
+    from quarry.operators import asof
+    monkeypatch.setattr(R, "SMALL_FILES", 0)
+    monkeypatch.setattr(asof, "FILE_BYTES_A_TASK", 1000, raising=False)
+    path = str(tmp_path / "rows")
+    spark.range(4000).selectExpr("id % 7 as k", "timestamp_seconds(id * 86400) as t", "id as v").write.parquet(path)
+    left = spark.read.parquet(path)
+    right = left.where("v % 3 = 0").selectExpr("k", "t as rt", "v as w")
+    got = asof_join(left, right, "t", "rt", by=["k"])
+    tasks = min(8192, R.leaf_bytes(left, right) // 1000)
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert tasks > 8 and f", {tasks}), REPARTITION_BY_NUM" in p
+    for r in got.collect():     # rows of a key come every 7 days, every third of them is on the right
+        want = max((x for x in range(r.v, -1, -7) if x % 3 == 0), default=None)
+        assert r.w == want
+
+
+def test_player_tasks_follow_the_files(spark, monkeypatch):
+    from quarry.catalog import load_all
+    from quarry.session import Tables
+    fn, d = load_all()["available_players_asof"].fn, "/root/testdata/sf0.001"
+    want = sorted(map(tuple, fn(Tables(spark, d)).collect()))
+    monkeypatch.setattr(R, "SPREAD_FILES", 0, raising=False)
+    got = fn(Tables(spark, d))
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == want
