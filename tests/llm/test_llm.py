@@ -163,6 +163,30 @@ def test_all_links_of_a_group_of_passages(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_classes_of_a_group_of_passages_without_all_its_pairs(spark):
+    rng = random.Random(13)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared, notice = prose(60), prose(30)
+    docs = [prose(30) + shared + prose(30) for _ in range(80)]             # 3,160 pairs
+    tails = [prose(60) for _ in range(6)]
+    docs += [prose(20) + notice + prose(20) + t for t in tails for _ in range(2)]      # a notice that is no passage, in six pairs
+    base = prose(90)
+    docs += [edited(base, {k for k in range(90) if rng.random() < 0.04}) for _ in range(40)]   # some far from others
+    rows = [(500 - i, " ".join(w)) for i, w in enumerate(docs)] + [(900 + i, " ".join(docs[5])) for i in range(4)]
+    rows += [(None, " ".join(docs[80])), (None, " ".join(tails[0][:20]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    every = compact_windows.repeated_passages(df).collect()
+    got = compact_windows.repeated_passages(df, classes=True).collect()
+    assert {tuple(r)[:-1] for r in got} <= {tuple(r) for r in every} and len(every) > 3160 > 3 * len(got)
+    ids = {500 - i: 500 - i for i in range(len(docs))} | {900 + i: 900 + i for i in range(4)} | {None: 420}     # null: a copy of 420
+    want = components(1000, [(ids[r.doc_id], ids[r.other_doc_id]) for r in every])
+    named = {d: r.component_id for r in got for d in (r.doc_id, r.other_doc_id)}
+    assert set(named) == {d for r in every for d in (r.doc_id, r.other_doc_id)}
+    assert named == {d: want[ids[d]] for d in named}
+
+
 def test_pairs_of_large_groups_are_dealt_to_cells(spark, monkeypatch):
     monkeypatch.setattr(compact_windows, "CELL", 7)
     monkeypatch.setattr(compact_windows, "BUCKET", 5)
