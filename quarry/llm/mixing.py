@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import forget, free_name, written
+from quarry.llm.common import forget, free_name, merged, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)          # by the sources' order, repeating
@@ -117,7 +117,7 @@ def sample_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     # copies depend on source and hash alone, so one row of each is enough
     plan = (mix(docs, doc_id, text, source).where("copies > 0")
             .groupBy(F.col("source").alias(origin), F.col("h").alias(h)).agg(F.max("copies").alias(n)))
-    joined = docs.join(plan, F.col(f"`{source}`").cast("string").eqNullSafe(F.col(f"`{origin}`"))
+    joined = docs.join(merged(plan), F.col(f"`{source}`").cast("string").eqNullSafe(F.col(f"`{origin}`"))
                        & (row_hash(F.col(f"`{doc_id}`"), F.col(f"`{text}`")) == F.col(f"`{h}`")))
     every = joined.select(*[F.col(f"`{c}`") for c in docs.columns],
                           F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"`{n}`"))).alias(place))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import connected_components, free_name, with_text_columns, written
+from quarry.llm.common import connected_components, free_name, merged, with_text_columns, written
 
 SEED = 42
 BLOCKS = (11, 11, 11, 11, 10, 10)
@@ -115,15 +115,15 @@ def links_between(classes: DataFrame, most: int = 4) -> DataFrame:
         .where("n > 1").select("bucket", F.explode("star").alias("s")).select("bucket", "s.fp", "s.node"))
     stars = stars.select("bucket", "fp", "node", *[c.alias(f"p{i}") for i, c in enumerate(p)])
     near = written(
-        dealt(classes).alias("x").join(stars.alias("y"), F.col("x.bucket") == F.col("y.bucket"))
+        merged(dealt(classes).alias("x")).join(merged(stars.alias("y")), F.col("x.bucket") == F.col("y.bucket"))
         .where((F.col("x.fp") != F.col("y.fp")) & close)
         .groupBy(F.col("x.fp").alias("fp"), F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("n")),
         "simhash")
     # the rest: pairs that do not hang on the same star already
     label = near.groupBy("fp").agg(F.min("b").alias("star"))
-    marked = dealt(classes.join(label.withColumnRenamed("fp", "near_fp"), F.col("fp") == F.col("near_fp"), "left")
+    marked = dealt(classes.join(merged(label.withColumnRenamed("fp", "near_fp")), F.col("fp") == F.col("near_fp"), "left")
                    .select("fp", "node", F.least("star", "node").alias("label")), "label")
-    x, y = marked.alias("x"), marked.alias("y")
+    x, y = merged(marked.alias("x")), merged(marked.alias("y"))
     rest = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.fp") < F.col("y.fp"))
                    & (F.col("x.label") != F.col("y.label")) & close)
             .groupBy(F.col("x.label").alias("a"), F.col("y.label").alias("b")).agg(F.count("*").alias("n")))
@@ -146,7 +146,7 @@ def labelled(docs: DataFrame, doc_id: str, text: str, shingle: int, most: int) -
     classes = written(facts.groupBy("fp").agg(F.min(key).alias("first")).select(
         "fp", F.struct(F.col("first").isNull().alias("unnamed"), F.coalesce("first", other).alias("id"), "fp").alias("node")), "simhash")
     found = connected_components(links_between(classes, most)).withColumnRenamed("node", "member")
-    return facts, classes.join(found, classes.node == found.member, "left").select("fp", F.coalesce("component", "node").alias("c"))
+    return facts, classes.join(merged(found), classes.node == found.member, "left").select("fp", F.coalesce("component", "node").alias("c"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, most: int = 4
@@ -159,7 +159,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     facts, labels = labelled(docs, doc_id, text, shingle, most)
     labels = labels.select("fp", F.when(~F.col("c.unnamed"), F.col("c.id")).alias("component_id"))
-    return facts.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return merged(facts).join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, most: int = 4) -> DataFrame:
@@ -169,13 +169,13 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     """
     facts, labels = labelled(docs, doc_id, text, shingle, most)
     name = F.when(~F.col("c.unnamed"), F.col("c.id"))
-    held = written(facts.join(labels, "fp").where(F.col("doc_id").eqNullSafe(name)).groupBy("c", "doc_id", "text_hash")
+    held = written(merged(facts).join(labels, "fp").where(F.col("doc_id").eqNullSafe(name)).groupBy("c", "doc_id", "text_hash")
                    .agg(F.count("*").alias("n")), "simhash")
     total = held.groupBy("c").agg(F.sum("n").alias("rows"))
     key, hashed, c, n = (free_name(docs, x) for x in ("kept_id", "kept_hash", "kept_c", "kept_n"))
-    kept = held.join(total, "c").select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed), F.col("c").alias(c),
+    kept = held.join(merged(total), "c").select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed), F.col("c").alias(c),
                                         F.col("rows").alias(n))
-    match = docs.join(kept, F.col(f"`{doc_id}`").cast(held.schema["doc_id"].dataType).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(hashed)))
+    match = docs.join(merged(kept), F.col(f"`{doc_id}`").cast(held.schema["doc_id"].dataType).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(hashed)))
     cols = [F.col(f"`{x}`") for x in docs.columns]
     single = match.where(F.col(n) == 1).select(*cols)
     # only rows of a component that has several are compared with each other, with map-side minima

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from oracle import duck
 from quarry.llm import (compact_windows, crf_langid, embed_dedup, idfile, mixing, quality_gbt, secrets, sentencepiece_codec, simhash,
                         warc)
-from quarry.llm.common import connected_components, shared_path
+from quarry.llm.common import connected_components, shared_path, written
 from quarry.llm.queries import LLM_ORACLE_SQL, LLM_QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -542,6 +542,24 @@ def test_links_of_a_dense_group(spark):
     assert [got.get(i, i) for i in range(len(fps))] == want
 
 
+def test_tables_that_grow_are_merged_not_broadcast(spark, monkeypatch):
+    """Files of a few kB are below any limit, so Spark would broadcast whatever it is not told to merge."""
+    plans = []
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(df, tag):
+        plans.append(plan(df))
+        return written(df, tag)
+    monkeypatch.setattr(simhash, "written", noted)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    plans.append(plan(simhash.one_of_each(docs)))
+    assert sum("Join" in p for p in plans) >= 3 and not any("BroadcastHashJoin" in p for p in plans)
+    joins = [x for x in plan(mixing.sample_documents(docs)).split("\n") if "Join" in x]
+    assert "SortMergeJoin" in joins[0]                                       # those below it are with one row a source
+
+
 def test_simhash_edge(edge, nothing):
     rows = simhash.near_duplicates(edge).collect()
     comp = {r.doc_id: r.component_id for r in rows}
