@@ -187,6 +187,29 @@ def test_classes_of_a_group_of_passages_without_all_its_pairs(spark):
     assert named == {d: want[ids[d]] for d in named}
 
 
+def test_query_loses_no_passage_between_connected_documents(spark, tmp_path):
+    rng, word = random.Random(17), iter(range(10**7))
+
+    def prose(n):
+        return [f"w{next(word)}" for _ in range(n)]
+    shared = prose(60)
+    docs = [prose(30) + shared + prose(30) for _ in range(30)]             # one class by the first passage
+    base = prose(110)                                                      # some of its members and four others share edits of another
+    for i, d in enumerate(docs[:8]):
+        d += edited(base, {10 + 12 * i})
+    docs += [edited(base, {104}) + prose(20) for _ in range(4)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    h = [compact_windows.shingles([compact_windows.words_of(t)])[0] for _, t in rows]
+    want = {(min(i, j), max(i, j)) for i in range(len(h)) for j in range(i) if [*compact_windows.passages(h[i], h[j])]}
+    found = LLM_QUERIES["op1_repeated_passages"](spark, str(tmp_path)).collect()
+    links = Counter(tuple(sorted((r.doc_id, r.other_doc_id))) for r in found)
+    assert set(links) == want and len(want) == 30 * 29 // 2 + 8 * 4 + 4 * 3 // 2
+    assert all(links[i, j] == 2 for i in range(8) for j in range(i + 1, 8))          # each pair has all its passages
+    both = components(len(h), want)
+    assert all(r.component_id == both[r.doc_id] == both[r.other_doc_id] for r in found)
+
+
 def test_pairs_of_large_groups_are_dealt_to_cells(spark, monkeypatch):
     monkeypatch.setattr(compact_windows, "CELL", 7)
     monkeypatch.setattr(compact_windows, "BUCKET", 5)
