@@ -210,6 +210,18 @@ def test_query_loses_no_passage_between_connected_documents(spark, tmp_path):
     assert all(r.component_id == both[r.doc_id] == both[r.other_doc_id] for r in found)
 
 
+def test_forest_of_pairs(spark, monkeypatch, nothing):
+    rng = random.Random(5)
+    pairs = [(a, b) for a, b in ((rng.randrange(300), rng.randrange(300)) for _ in range(2000)) if a % 7 == b % 7 and a > b]
+    df = spark.createDataFrame(pairs, "doc long, other long").repartition(3)
+    for most in (compact_windows.MET, 5):
+        monkeypatch.setattr(compact_windows, "MET", most)
+        got = [tuple(r) for r in compact_windows.forest(df).collect()]
+        assert set(got) <= set(pairs) and components(300, got) == components(300, pairs)
+        assert most == 5 or len(got) < 3 * 300
+    assert compact_windows.repeated_passages(nothing, components=True).count() == 0
+
+
 def test_pairs_of_large_groups_are_dealt_to_cells(spark, monkeypatch):
     monkeypatch.setattr(compact_windows, "CELL", 7)
     monkeypatch.setattr(compact_windows, "BUCKET", 5)
