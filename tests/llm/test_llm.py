@@ -210,6 +210,25 @@ def test_query_loses_no_passage_between_connected_documents(spark, tmp_path):
     assert all(r.component_id == both[r.doc_id] == both[r.other_doc_id] for r in found)
 
 
+def test_pairs_are_formed_in_tiles(spark, monkeypatch):
+    rng = random.Random(21)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared = [prose(60) for _ in range(6)]
+    docs = [sum((s + prose(12) for k, s in enumerate(shared) if (i >> k) & 1), prose(8)) for i in range(1, 60)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs, 1)], "doc_id long, text string")
+
+    def found():
+        return sorted(tuple(r) for r in compact_windows.repeated_passages(df).collect())
+    every = found()
+    assert {tuple(sorted((r[0], r[3]))) for r in every} == {(i, j) for j in range(1, 60) for i in range(1, j) if i & j}
+    monkeypatch.setattr(compact_windows, "BUCKET", 4)
+    monkeypatch.setattr(compact_windows, "PAIRS_AT_ONCE", 3)
+    monkeypatch.setattr(compact_windows, "PAIRS_A_TASK", 50)
+    assert found() == every
+
+
 def test_forest_of_pairs(spark, monkeypatch, nothing):
     rng = random.Random(5)
     pairs = [(a, b) for a, b in ((rng.randrange(300), rng.randrange(300)) for _ in range(2000)) if a % 7 == b % 7 and a > b]
